@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The mart is a full-refresh batch job; it has no unbounded source, watermark,
+window or stateful operator, so nothing here is built. Each table is a batch
+DataFrame written in one overwrite.
+"""
