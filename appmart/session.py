@@ -39,7 +39,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     On a cluster pass ``master=None`` and let spark-submit decide; tests and
     the bench pass ``local[N]``.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name)
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
