@@ -20,7 +20,7 @@ from appmart import operators as ops
 from appmart.functions.keys import app_user_key, campaign_key, day_text_from_date
 from appmart.plans import dims, facts, marts
 from appmart.plans.stats import statistics_frame
-from appmart.session import configure, run_dir
+from appmart.session import configure, materialise, run_dir
 from appmart.sources import fixtures as fx
 from appmart.sources.csv import read_csv, write_csv
 from appmart.schemas import RAW_SCHEMAS
@@ -45,9 +45,12 @@ class Inputs:
         self.spark, self.sf_dir = configure(spark), sf_dir
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _get(self, name: str, build: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
+        """Build once per query; ``keep`` writes the result as a table in the shared
+        folder so later steps read it instead of recomputing its lineage."""
         if name not in self._cache:
-            self._cache[name] = build()
+            df = build()
+            self._cache[name] = materialise(df, name) if keep else df
         return self._cache[name]
 
     def raw(self, name: str) -> DataFrame:
@@ -69,33 +72,38 @@ class Inputs:
     @property
     def app_dim(self):
         return self._get("app_dim", lambda: dims.build_app_user_dim(
-            self.engagement_raw, self.ratings_raw, self.installs_raw, self.trials_raw, ETL_TS))
+            self.engagement_raw, self.ratings_raw, self.installs_raw, self.trials_raw, ETL_TS),
+            keep=True)
 
     @property
     def campaign_dim(self):
         return self._get("campaign_dim", lambda: dims.build_campaign_dim(
-            self.installs_raw, self.spend_raw, ETL_TS))
+            self.installs_raw, self.spend_raw, ETL_TS), keep=True)
 
     @property
     def engagement(self):
-        return self._get("eng", lambda: facts.build_engagement(self.engagement_raw, self.app_dim, ETL_TS))
+        return self._get("eng", lambda: facts.build_engagement(self.engagement_raw, self.app_dim, ETL_TS),
+                         keep=True)
 
     @property
     def ratings(self):
-        return self._get("rat", lambda: facts.build_ratings(self.ratings_raw, self.app_dim, ETL_TS))
+        return self._get("rat", lambda: facts.build_ratings(self.ratings_raw, self.app_dim, ETL_TS),
+                         keep=True)
 
     @property
     def installs(self):
         return self._get("ins", lambda: facts.build_installs(
-            self.installs_raw, self.app_dim, self.campaign_dim, ETL_TS))
+            self.installs_raw, self.app_dim, self.campaign_dim, ETL_TS), keep=True)
 
     @property
     def trials(self):
-        return self._get("tri", lambda: facts.build_trials(self.trials_raw, self.app_dim, ETL_TS))
+        return self._get("tri", lambda: facts.build_trials(self.trials_raw, self.app_dim, ETL_TS),
+                         keep=True)
 
     @property
     def spend(self):
-        return self._get("spd", lambda: facts.build_spend(self.spend_raw, self.campaign_dim, ETL_TS))
+        return self._get("spd", lambda: facts.build_spend(self.spend_raw, self.campaign_dim, ETL_TS),
+                         keep=True)
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

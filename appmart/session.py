@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (UTC timestamps, strict parsing) and the
 # runtime re-planning the joins rely on for hot keys.
@@ -22,6 +22,12 @@ PLANNING_CONF = {
     # A hot key may sit below a join whose output partitioning a later
     # operator reuses; split it anyway rather than leave one task with it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # No broadcast from plan-time size *estimates* (they can be far off for
+    # derived tables at scale). Broadcasts come only from an explicit
+    # row-bound check (operators.joins.fits) or from AQE, which decides on
+    # the measured size of a finished shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
@@ -68,6 +74,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into a fresh run folder of the shared folder and
+    read it back: cuts the lineage (a lost executor recomputes nothing
+    upstream) and later readers get column pruning and filter pushdown."""
+    path = run_dir(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder for one run."""
     base = shared_dir(spark)
