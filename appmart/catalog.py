@@ -39,15 +39,21 @@ def utc_wall_clock(df: DataFrame) -> DataFrame:
 
 
 class Inputs:
-    """Lazily built raw tables, dimensions and facts of one sf folder."""
+    """Raw tables, dimensions and facts of one sf folder, built once per query.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    A table another step reads more than once is written as Parquet to the
+    shared folder and read back (lineage cut, column pruning on re-read):
+    the dimensions always (several facts conform to each), the facts only
+    when ``reuse_facts`` (a query reading each fact several times). A
+    query's own output stays a lazy plan: ``lazy(name)``.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, reuse_facts: bool = False):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self.reuse_facts = reuse_facts
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
-        """Build once per query; ``keep`` writes the result as a table in the shared
-        folder so later steps read it instead of recomputing its lineage."""
         if name not in self._cache:
             df = build()
             self._cache[name] = materialise(df, name) if keep else df
@@ -69,50 +75,59 @@ class Inputs:
     @property
     def countries(self): return self.raw("country_code_to_name")
 
-    @property
-    def app_dim(self):
-        return self._get("app_dim", lambda: dims.build_app_user_dim(
-            self.engagement_raw, self.ratings_raw, self.installs_raw, self.trials_raw, ETL_TS),
-            keep=True)
+    def lazy(self, name: str) -> DataFrame:
+        """The plan of one modelled table, not stored."""
+        return _BUILDS[name](self)
 
-    @property
-    def campaign_dim(self):
-        return self._get("campaign_dim", lambda: dims.build_campaign_dim(
-            self.installs_raw, self.spend_raw, ETL_TS), keep=True)
+    def table(self, name: str) -> DataFrame:
+        """A modelled table as an input: stored if it is a dimension (or a fact
+        under ``reuse_facts``), else its lazy plan; built once either way."""
+        keep = name in _DIMENSIONS or (self.reuse_facts and name in _FACTS)
+        return self._get(name, lambda: self.lazy(name), keep=keep)
 
     @property
-    def engagement(self):
-        return self._get("eng", lambda: facts.build_engagement(self.engagement_raw, self.app_dim, ETL_TS),
-                         keep=True)
-
+    def app_dim(self): return self.table(dims.APP_USER_DIM)
     @property
-    def ratings(self):
-        return self._get("rat", lambda: facts.build_ratings(self.ratings_raw, self.app_dim, ETL_TS),
-                         keep=True)
-
+    def campaign_dim(self): return self.table(dims.CAMPAIGN_DIM)
     @property
-    def installs(self):
-        return self._get("ins", lambda: facts.build_installs(
-            self.installs_raw, self.app_dim, self.campaign_dim, ETL_TS), keep=True)
-
+    def engagement(self): return self.table(facts.ENGAGEMENT)
     @property
-    def trials(self):
-        return self._get("tri", lambda: facts.build_trials(self.trials_raw, self.app_dim, ETL_TS),
-                         keep=True)
-
+    def ratings(self): return self.table(facts.RATING)
+    @property
+    def installs(self): return self.table(facts.INSTALLS)
+    @property
+    def trials(self): return self.table(facts.TRIALS)
     @property
-    def spend(self):
-        return self._get("spd", lambda: facts.build_spend(self.spend_raw, self.campaign_dim, ETL_TS),
-                         keep=True)
+    def spend(self): return self.table(facts.SPEND)
+
+
+_DIMENSIONS = (dims.APP_USER_DIM, dims.CAMPAIGN_DIM)
+_FACTS = (facts.ENGAGEMENT, facts.RATING, facts.INSTALLS, facts.TRIALS, facts.SPEND)
+
+
+_BUILDS: dict[str, Callable[[Inputs], DataFrame]] = {
+    dims.APP_USER_DIM: lambda i: dims.build_app_user_dim(
+        i.engagement_raw, i.ratings_raw, i.installs_raw, i.trials_raw, ETL_TS),
+    dims.CAMPAIGN_DIM: lambda i: dims.build_campaign_dim(i.installs_raw, i.spend_raw, ETL_TS),
+    facts.ENGAGEMENT: lambda i: facts.build_engagement(i.engagement_raw, i.app_dim, ETL_TS),
+    facts.RATING: lambda i: facts.build_ratings(i.ratings_raw, i.app_dim, ETL_TS),
+    facts.INSTALLS: lambda i: facts.build_installs(i.installs_raw, i.app_dim, i.campaign_dim, ETL_TS),
+    facts.TRIALS: lambda i: facts.build_trials(i.trials_raw, i.app_dim, ETL_TS),
+    facts.SPEND: lambda i: facts.build_spend(i.spend_raw, i.campaign_dim, ETL_TS),
+    marts.MERGED: lambda i: marts.build_merged_app_users(i.installs, i.trials, i.ratings,
+                                                         i.engagement, ETL_TS),
+    marts.COUNTRY_AVERAGES: lambda i: marts.build_country_averages(i.engagement, i.countries, ETL_TS),
+}
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
 
 
-def query(name: str):
+def query(name: str, reuse_facts: bool = False):
     def register(fn_: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-        _REGISTRY[name] = lambda spark, sf_dir: utc_wall_clock(fn_(Inputs(spark, sf_dir)))
+        _REGISTRY[name] = lambda spark, sf_dir: utc_wall_clock(
+            fn_(Inputs(spark, sf_dir, reuse_facts=reuse_facts)))
         return fn_
     return register
 
@@ -231,7 +246,7 @@ def q_join_coalesce_fallback(i: Inputs) -> DataFrame:
 
 @query("merged_app_users")
 def q_merged_app_users(i: Inputs) -> DataFrame:
-    return marts.build_merged_app_users(i.installs, i.trials, i.ratings, i.engagement, ETL_TS)
+    return i.lazy(marts.MERGED)
 
 
 # --- D: aggregation, distinct ------------------------------------------------
@@ -375,42 +390,42 @@ def q_campaign_key(i: Inputs) -> DataFrame:
 
 @query("app_user_mapping")
 def q_app_user_mapping(i: Inputs) -> DataFrame:
-    return i.app_dim
+    return i.lazy(dims.APP_USER_DIM)
 
 
 @query("date_campaign_country_mapping")
 def q_date_campaign_country_mapping(i: Inputs) -> DataFrame:
-    return i.campaign_dim
+    return i.lazy(dims.CAMPAIGN_DIM)
 
 
 @query("app_engagement_metrics")
 def q_app_engagement_metrics(i: Inputs) -> DataFrame:
-    return i.engagement
+    return i.lazy(facts.ENGAGEMENT)
 
 
 @query("app_rating")
 def q_app_rating(i: Inputs) -> DataFrame:
-    return i.ratings
+    return i.lazy(facts.RATING)
 
 
 @query("user_installs")
 def q_user_installs(i: Inputs) -> DataFrame:
-    return i.installs
+    return i.lazy(facts.INSTALLS)
 
 
 @query("user_subscription_trials")
 def q_user_subscription_trials(i: Inputs) -> DataFrame:
-    return i.trials
+    return i.lazy(facts.TRIALS)
 
 
 @query("ua_campaign_spendings")
 def q_ua_campaign_spendings(i: Inputs) -> DataFrame:
-    return i.spend
+    return i.lazy(facts.SPEND)
 
 
 @query("avg_session_by_country")
 def q_avg_session_by_country(i: Inputs) -> DataFrame:
-    return marts.build_country_averages(i.engagement, i.countries, ETL_TS)
+    return i.lazy(marts.COUNTRY_AVERAGES)
 
 
 @query("pk_duplicates")
@@ -430,22 +445,8 @@ def q_fk_orphans(i: Inputs) -> DataFrame:
     return orphans.select("hash_key", "user_id", "hash_date_campaign_country")
 
 
-MODELLED = {
-    dims.APP_USER_DIM: lambda i: i.app_dim,
-    dims.CAMPAIGN_DIM: lambda i: i.campaign_dim,
-    facts.ENGAGEMENT: lambda i: i.engagement,
-    facts.RATING: lambda i: i.ratings,
-    facts.INSTALLS: lambda i: i.installs,
-    facts.TRIALS: lambda i: i.trials,
-    facts.SPEND: lambda i: i.spend,
-    marts.MERGED: lambda i: marts.build_merged_app_users(i.installs, i.trials, i.ratings,
-                                                         i.engagement, ETL_TS),
-    marts.COUNTRY_AVERAGES: lambda i: marts.build_country_averages(i.engagement, i.countries, ETL_TS),
-}
-
-
-@query("table_statistics")
+@query("table_statistics", reuse_facts=True)
 def q_table_statistics(i: Inputs) -> DataFrame:
-    frames = [statistics_frame(build(i), name, ETL_TS, DAG_EXECUTION_DATE)
-              for name, build in MODELLED.items()]
+    """Statistics of all nine modelled tables; facts are stored once, read by several."""
+    frames = [statistics_frame(i.table(name), name, ETL_TS, DAG_EXECUTION_DATE) for name in _BUILDS]
     return reduce(DataFrame.unionByName, frames)
