@@ -32,8 +32,9 @@ def test_merged_app_users_has_no_product_join(spark):
 
 
 def test_naive_coalesce_join_would_be_a_product(spark):
-    # The rewrite exists because this form plans as a Cartesian product.
-    i = catalog.Inputs(spark, SF_SMALL)
+    # The rewrite exists because this form plans as a Cartesian product when
+    # the right key is nullable, as every column read back from Parquet is.
+    i = catalog.Inputs(spark, SF_SMALL, reuse_facts=True)
     left = i.installs.select(F.col("hash_key").alias("lk"))
     right = i.engagement.select(F.col("hash_key").alias("rk"))
     spark.conf.set("spark.sql.crossJoin.enabled", "true")
