@@ -92,7 +92,8 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
     if overlap:
         raise ValueError(f"inputs share column names {sorted(overlap)}; rename first")
     keyed = right.where(F.col(right_key).isNotNull())
-    matched = left.join(keyed, F.col(left_key) == F.col(right_key), "inner")
+    matched = left.join(broadcast_if_small(keyed, max_broadcast_rows),
+                        F.col(left_key) == F.col(right_key), "inner")
 
     orphans = right.where(F.col(right_key).isNull())
     if orphans.limit(1).count() == 0:

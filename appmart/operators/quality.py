@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from appmart.operators.joins import broadcast_if_small
+
 
 def pk_duplicates(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that occur on more than one row, with their row count.
@@ -22,7 +24,9 @@ def pk_duplicates(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str = "hash_key") -> DataFrame:
     """Fact rows whose foreign key has no row in the dimension.
 
-    A NULL foreign key has no match, so it is reported as an orphan.
+    A NULL foreign key has no match, so it is reported as an orphan. The
+    dimension's keys are broadcast when their row bound allows (a key listed
+    twice does not change an anti join, so no distinct is needed).
     """
-    keys = dim.select(F.col(dim_key).alias("_dim_key"))
+    keys = broadcast_if_small(dim.select(F.col(dim_key).alias("_dim_key")))
     return fact.join(keys, fact[fk] == keys["_dim_key"], "left_anti")

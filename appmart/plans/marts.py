@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appmart.operators import (conform, group_avg, join_coalesce_fallback, join_on,
-                               lookup_left, stamp)
+from appmart.operators import (broadcast_if_small, conform, group_avg, join_coalesce_fallback,
+                               join_on, lookup_left, stamp)
 from appmart.schemas import MART_SCHEMAS
+from appmart.session import materialise
 
 MERGED = "merged_app_users"
 COUNTRY_AVERAGES = "avg_session_by_country"
@@ -47,14 +48,25 @@ def build_merged_app_users(installs: DataFrame, trials: DataFrame, ratings: Data
       keys plus the NULL-key branch (see ``join_coalesce_fallback``); only if
       NULL keys exist can the branches overlap, and only then is a final
       distinct added.
-    * Both key joins are shuffle joins on ``hash_key``; a hot key's partition
+    * installs ⋈ trials is a shuffle join on (hash_key, user_id), so a hot
+      app-day key still spreads over its users; a hot (key, user) partition
       is split at runtime by AQE's skew-join handling.
+    * The ratings side holds at most five rows per key and the engagement
+      side one row per (key, country, metrics): both are broadcast when their
+      row-bound check passes, so the growing product is never shuffled
+      again and a hot key's rows stay spread over the first join's tasks.
+      Over the bound they are shuffle joins (AQE splits skewed partitions).
+      Each of the two is computed once and stored in the shared folder, so
+      its size checks read a few stored rows instead of recomputing it.
     """
     users = installs.select("hash_key", "user_id", "hash_date_campaign_country").distinct()
     paired = join_on(users, trials_by_day(trials), ["hash_key", "user_id"])
-    rated = join_on(paired, ratings_by_day(ratings), ["hash_key"])
+    stars = materialise(ratings_by_day(ratings), "merged-ratings")
+    rated = join_on(paired, broadcast_if_small(stars), ["hash_key"])
 
-    metrics = engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct()
+    metrics = materialise(
+        engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct(),
+        "merged-engagement")
     # In the joined rows the install key and the trial key are equal (join
     # condition), so COALESCE(install key, trial key) is the shared hash_key.
     merged, had_null_keys = join_coalesce_fallback(
