@@ -20,7 +20,8 @@ from appmart.plans import dims, facts, marts
 from appmart.plans.stats import load_statistics
 from appmart.schemas import (MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
-from appmart.sources.csv import discover_sources, read_csv
+from appmart.session import fit_shuffle_partitions
+from appmart.sources.csv import list_sources, read_csv
 from appmart.sources.tables import TableStore
 
 RAW_DB = "data"
@@ -61,8 +62,12 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
     store.ensure(RAW_DB, RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
     store.ensure(MART_DB, MART_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
 
-    # Load: positional fixed-schema scan, stamped in the same full-width write.
-    for table, paths in discover_sources(spark, src_dir).items():
+    # Size the shuffle width from the input once, then load: positional
+    # fixed-schema scan, stamped in the same full-width write.
+    sources = list_sources(spark, src_dir)
+    fit_shuffle_partitions(spark, sum(size for files in sources.values() for _, size in files))
+    for table, files in sources.items():
+        paths = [path for path, _ in files]
         schema = raw_schema(table)
         run.materialise(RAW_DB, table, RAW_STATISTICS_TABLE,
                         lambda p=paths, s=schema: stamp(read_csv(spark, p, s), etl_ts))

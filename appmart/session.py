@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -31,6 +32,28 @@ PLANNING_CONF = {
 }
 
 
+# Starting shuffle width of a pipeline run: one partition per this many
+# bytes of source files, at most MAX_SHUFFLE_PARTITIONS. Shuffles here carry
+# projected, pre-aggregated or semi-joined rows (much less than the input),
+# and AQE merges partitions below its advisory size, so starting wide is
+# cheap while starting narrow cannot be undone at runtime.
+SOURCE_BYTES_PER_SHUFFLE_PARTITION = 4 << 30
+MAX_SHUFFLE_PARTITIONS = 32768
+
+
+def fit_shuffle_partitions(spark: SparkSession, source_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to suit ``source_bytes`` of input.
+
+    Never lowers a setting the user chose; returns the width in effect.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(source_bytes / SOURCE_BYTES_PER_SHUFFLE_PARTITION))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the mart needs to an existing session."""
     for key, value in {**REQUIRED_CONF, **PLANNING_CONF}.items():

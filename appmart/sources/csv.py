@@ -57,24 +57,30 @@ def table_name_of(relative_path: str) -> str:
     return top.split(".", 1)[0]
 
 
-def discover_sources(spark: SparkSession, directory: str) -> dict[str, list[str]]:
-    """Map table name → CSV files under ``directory``.
+def list_sources(spark: SparkSession, directory: str) -> dict[str, list[tuple[str, int]]]:
+    """Map table name → (CSV file, size in bytes) under ``directory``.
 
     A source is a ``name.csv`` file or a ``name.csv/`` folder of part files.
     The listing is a file-metadata scan (the binary-file source reads no
-    content when only ``path`` is selected); it returns one row per file, so
-    its size is the number of files, not the data.
+    content when only ``path`` and ``length`` are selected); it returns one
+    row per file, so its size is the number of files, not the data.
     """
     listing = (spark.read.format("binaryFile")
                .option("pathGlobFilter", "*.csv")
                .option("recursiveFileLookup", "true")
                .load(directory)
-               .select(F.col("path")))
+               .select(F.col("path"), F.col("length")))
     root = directory.rstrip("/")
-    sources: dict[str, list[str]] = defaultdict(list)
+    sources: dict[str, list[tuple[str, int]]] = defaultdict(list)
     for row in listing.collect():
         path = row["path"]
         local = path.split(":", 1)[1] if path.startswith("file:") else path
         rel = posixpath.relpath(local, root.split(":", 1)[1] if root.startswith("file:") else root)
-        sources[table_name_of(rel)].append(path)
+        sources[table_name_of(rel)].append((path, int(row["length"])))
     return {name: sorted(files) for name, files in sorted(sources.items())}
+
+
+def discover_sources(spark: SparkSession, directory: str) -> dict[str, list[str]]:
+    """Map table name → CSV files under ``directory`` (see :func:`list_sources`)."""
+    return {name: [path for path, _ in files]
+            for name, files in list_sources(spark, directory).items()}

@@ -80,3 +80,23 @@ def test_raw_schemas_are_all_nullable_with_declared_types():
     for schema in RAW_SCHEMAS.values():
         assert all(f.nullable for f in schema.fields)
         assert {type(f.dataType) for f in schema.fields} <= {T.StringType, T.LongType, T.DoubleType}
+
+
+def test_list_sources_reports_sizes(spark, scratch):
+    from appmart.sources.csv import list_sources
+    write_text(os.path.join(scratch, "app_ratings.csv"), "a,b\n1,2\n")
+    assert list_sources(spark, scratch)["app_ratings"][0][1] == len("a,b\n1,2\n")
+
+
+def test_shuffle_width_is_raised_never_lowered(spark):
+    from appmart.session import SOURCE_BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS, fit_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert fit_shuffle_partitions(spark, 1000) == 8
+        assert fit_shuffle_partitions(spark, 20 * SOURCE_BYTES_PER_SHUFFLE_PARTITION) == 20
+        assert fit_shuffle_partitions(spark, 100 << 40) == 25600      # 100 TiB
+        assert fit_shuffle_partitions(spark, 1 << 50) == MAX_SHUFFLE_PARTITIONS
+        assert fit_shuffle_partitions(spark, 1000) == MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
