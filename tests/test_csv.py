@@ -100,3 +100,9 @@ def test_shuffle_width_is_raised_never_lowered(spark):
         assert fit_shuffle_partitions(spark, 1000) == MAX_SHUFFLE_PARTITIONS
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_unknown_source_name_has_no_schema():
+    from appmart.schemas import raw_schema
+    with pytest.raises(KeyError):
+        raw_schema("not_a_table")

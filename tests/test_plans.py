@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from appmart import catalog
-from appmart.plans import marts
+from appmart.plans import facts, marts
 from appmart.sources import fixtures as fx
 
 from conftest import SF_SMALL
@@ -34,7 +34,7 @@ def test_merged_app_users_has_no_product_join(spark):
 def test_naive_coalesce_join_would_be_a_product(spark):
     # The rewrite exists because this form plans as a Cartesian product when
     # the right key is nullable, as every column read back from Parquet is.
-    i = catalog.Inputs(spark, SF_SMALL, reuse_facts=True)
+    i = catalog.Inputs(spark, SF_SMALL, stored_facts=(facts.INSTALLS, facts.ENGAGEMENT))
     left = i.installs.select(F.col("hash_key").alias("lk"))
     right = i.engagement.select(F.col("hash_key").alias("rk"))
     spark.conf.set("spark.sql.crossJoin.enabled", "true")
