@@ -186,7 +186,7 @@ def q_join_key_lookup(i: Inputs) -> DataFrame:
     keyed = facts.engagement_keyed(i.engagement_raw).select("hash_key", "country_code", "sessions")
     dim = i.app_dim.select("hash_key", F.col("package").alias("dim_package"),
                            F.col("version").alias("dim_version"))
-    return ops.join_on(keyed, dim, ["hash_key"])
+    return ops.join_on(keyed, ops.broadcast_if_small(dim), ["hash_key"])
 
 
 @query("join_key_semi")
@@ -227,7 +227,8 @@ def _installs_with_trials(i: Inputs) -> DataFrame:
 def q_join_coalesced_key(i: Inputs) -> DataFrame:
     """Ratings joined on COALESCE(install key, trial key)."""
     left = _installs_with_trials(i)
-    right = marts.ratings_by_day(i.ratings)
+    # Stored once, so the join's size check reads a few stored rows.
+    right = materialise(marts.ratings_by_day(i.ratings), "ratings-by-day")
     joined = ops.join_coalesced_key(left, right, ["u_hash_key", "t_hash_key"], "hash_key")
     return joined.select(right["hash_key"], F.col("u_user_id").alias("user_id"), "order_id",
                          "star_rating")

@@ -58,14 +58,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def join_coalesced_key(left: DataFrame, right: DataFrame, left_cols: Sequence[str],
-                       right_col: str) -> DataFrame:
+                       right_col: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+                       ) -> DataFrame:
     """Inner join on ``COALESCE(left_cols...) = right_col``.
 
     The coalesce only reads the left side, so this is an equi-join on a
-    derived key and plans as a hash-partitioned join, not a nested loop.
+    derived key: a broadcast join when the right side's size check passes,
+    else a hash-partitioned shuffle join; never a nested loop.
     """
     key = F.coalesce(*[left[c] for c in left_cols])
-    return left.join(right, key == right[right_col], "inner")
+    return left.join(broadcast_if_small(right, max_broadcast_rows), key == right[right_col], "inner")
 
 
 def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
