@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,8 +96,11 @@ def test_pipeline_tables_equal_lazy_builds(spark, run):
 
 def test_rerun_replaces_tables_and_appends_statistics(spark, run):
     store, counts, src = run
+    before = {name: Counter(map(tuple, store.read(MART_DB, name).collect())) for name in MART_SCHEMAS}
     again = run_pipeline(spark, src, store, etl_ts=ETL, dag_execution_date=ETL)
     assert again == counts
+    for name in MART_SCHEMAS:
+        assert Counter(map(tuple, store.read(MART_DB, name).collect())) == before[name], name
     per_table = (store.read(MART_DB, MART_STATISTICS_TABLE).groupBy("table_name").count().collect())
     assert {r["count"] for r in per_table} == {2}
 
