@@ -85,13 +85,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a fresh
-    scratch folder created and registered, so checkpoints and run tables
-    never land on an executor's local disk on a real cluster.
+    Read from the session. Only in local mode (tests) may it be unset, and
+    then a fresh scratch folder is created and registered; on a cluster an
+    unset folder is an error, so stored tables never land on executors'
+    local disks.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(e.g. on the cluster's distributed file system)")
         path = tempfile.mkdtemp(prefix="appmart-ckpt-")
         sc.setCheckpointDir(path)
     return path

@@ -59,3 +59,10 @@ def test_no_plan_time_broadcast_from_estimates(spark):
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_shared_folder_is_registered_for_local_runs(spark):
+    from appmart.session import run_dir, shared_dir
+    base = shared_dir(spark)
+    assert base and run_dir(spark, "x").startswith(base.rstrip("/") + "/x-")
+    assert run_dir(spark, "x") != run_dir(spark, "x")
