@@ -66,3 +66,16 @@ def test_shared_folder_is_registered_for_local_runs(spark):
     base = shared_dir(spark)
     assert base and run_dir(spark, "x").startswith(base.rstrip("/") + "/x-")
     assert run_dir(spark, "x") != run_dir(spark, "x")
+
+
+def test_over_bound_semi_join_and_distinct_share_one_shuffle(spark):
+    # A dimension too large to broadcast: the fact is shuffled by hash_key for
+    # the semi-join, and the DISTINCT reuses that partitioning.
+    from appmart.operators import semi_lookup
+    i = catalog.Inputs(spark, SF_SMALL)
+    keyed = facts.spend_keyed(i.spend_raw)          # no shuffle of its own
+    out = semi_lookup(keyed, i.campaign_dim, "hash_key", max_broadcast_rows=0).distinct()
+    out.write.format("noop").mode("overwrite").save()
+    plan = plan_of(out)
+    assert "SortMergeJoin" in plan and "LeftSemi" in plan
+    assert plan.count("Exchange hashpartitioning") == 2     # one per join side, none for DISTINCT
