@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from appmart.session import size_checks
+
 # Rows a side may have to be broadcast. A broadcast table is copied to every
 # executor, so the bound is on the copy, not on the data the job reads.
 DEFAULT_BROADCAST_ROWS = 500_000
@@ -22,8 +24,18 @@ ORPHAN_BUCKET_ROWS = 100_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; stops reading past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows; stops reading past the bound.
+
+    For a stored (write-once) table the answer is remembered, so checking
+    one dimension for several facts runs one job.
+    """
+    known = size_checks(df)
+    if known is not None and max_rows in known:
+        return known[max_rows]
+    result = df.limit(max_rows + 1).count() <= max_rows
+    if known is not None:
+        known[max_rows] = result
+    return result
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -39,7 +51,9 @@ def semi_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "
     dimension, without the fan-out a duplicated dimension key would cause.
     """
     keys = dim.select(F.col(dim_key).alias(fact_key))
-    return fact.join(broadcast_if_small(keys, max_broadcast_rows), on=fact_key, how="left_semi")
+    if fits(dim, max_broadcast_rows):      # same row count as ``keys``; remembered if stored
+        keys = F.broadcast(keys)
+    return fact.join(keys, on=fact_key, how="left_semi")
 
 
 def lookup_left(df: DataFrame, dim: DataFrame, on: str | Sequence[str],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appmart.operators.joins import broadcast_if_small
+from appmart.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 
 
 def pk_duplicates(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -28,5 +28,7 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str = "hash_ke
     dimension's keys are broadcast when their row bound allows (a key listed
     twice does not change an anti join, so no distinct is needed).
     """
-    keys = broadcast_if_small(dim.select(F.col(dim_key).alias("_dim_key")))
+    keys = dim.select(F.col(dim_key).alias("_dim_key"))
+    if fits(dim, DEFAULT_BROADCAST_ROWS):    # same row count as ``keys``; remembered if stored
+        keys = F.broadcast(keys)
     return fact.join(keys, fact[fk] == keys["_dim_key"], "left_anti")

@@ -6,6 +6,7 @@ import math
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,13 +102,25 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+# Stored tables live in write-once folders, so what a size check learns about
+# one never goes stale; the results are kept per stored DataFrame.
+_SIZE_CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def size_checks(df: DataFrame) -> dict[int, bool] | None:
+    """Remembered ``bound -> fits`` results of a stored table; None if ``df`` is not one."""
+    return _SIZE_CHECKS.get(df)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh run folder of the shared folder and
     read it back: cuts the lineage (a lost executor recomputes nothing
     upstream) and later readers get column pruning and filter pushdown."""
     path = run_dir(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    _SIZE_CHECKS[stored] = {}
+    return stored
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -173,3 +173,24 @@ def test_fk_orphans_reports_missing_and_null_keys(spark):
     fact = spark.createDataFrame([("k1", 1), ("k2", 2), (None, 3)], "hash_key string, v int")
     dim = spark.createDataFrame([("k1",)], "hash_key string")
     assert rows(ops.fk_orphans(fact, dim, "hash_key")) == [("k2", 2), (None, 3)]
+
+
+def test_size_check_of_a_stored_table_runs_once(spark):
+    from appmart.session import materialise
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def jobs(group, check):
+        sc.setJobGroup(group, group)
+        try:
+            check()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    stored, lazy = materialise(spark.range(10), "size-check"), spark.range(10)
+    assert jobs("stored-first", lambda: joins.fits(stored, 10)) >= 1
+    assert jobs("stored-again", lambda: joins.fits(stored, 10)) == 0
+    assert jobs("stored-new-bound", lambda: joins.fits(stored, 9)) >= 1
+    assert joins.fits(stored, 10) and not joins.fits(stored, 9)
+    assert jobs("lazy-first", lambda: joins.fits(lazy, 10)) >= 1
+    assert jobs("lazy-again", lambda: joins.fits(lazy, 10)) >= 1      # lazy inputs may change
