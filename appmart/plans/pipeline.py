@@ -5,12 +5,20 @@ statistics row. Steps run in true dependency order: facts read the written
 dimensions, marts read the written facts, so no table is built from a stale
 or half-written input. Each step reads stored tables, so a lost executor
 only recomputes the current step.
+
+Steps of one stage (the raw loads; the two dimensions; the five facts; the
+two marts) are independent and are submitted from a few driver threads, so
+Spark schedules their jobs side by side and small tables do not leave the
+cluster idle. Statistics rows go to one folder per layer, so their appends
+are serialised.
 """
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +40,12 @@ class Run:
     """One pipeline run: a store, the run timestamp and the scheduler's run date."""
 
     def __init__(self, spark: SparkSession, store: TableStore, etl_ts: str,
-                 dag_execution_date: str | None):
+                 dag_execution_date: str | None, workers: int = 4):
         self.spark, self.store = spark, store
         self.etl_ts, self.dag_execution_date = etl_ts, dag_execution_date
+        self.workers = max(1, workers)
         self.row_counts: dict[str, int] = {}
+        self._stats_lock = threading.Lock()
 
     def materialise(self, db: str, table: str, stats_table: str,
                     build: Callable[[], DataFrame]) -> DataFrame:
@@ -45,16 +55,32 @@ class Run:
         stored = self.store.read(db, table)
         stats = load_statistics(self.spark, stored, table, started, self.etl_ts,
                                 self.dag_execution_date)
-        self.store.append(stats, db, stats_table)
-        self.row_counts[f"{db}.{table}"] = stats.first()["row_loaded_to_bq"]
+        with self._stats_lock:
+            self.store.append(stats, db, stats_table)
+            self.row_counts[f"{db}.{table}"] = stats.first()["row_loaded_to_bq"]
         return stored
 
+    def stage(self, steps: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Run independent steps side by side; returns their stored tables.
+
+        A failing step re-raises here after the stage's other steps finish.
+        """
+        if self.workers == 1 or len(steps) == 1:
+            return {name: step() for name, step in steps.items()}
+        with ThreadPoolExecutor(max_workers=min(self.workers, len(steps))) as pool:
+            futures = {name: pool.submit(step) for name, step in steps.items()}
+            return {name: future.result() for name, future in futures.items()}
+
 
 def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: str | None = None,
-                 dag_execution_date: str | None = None) -> dict[str, int]:
-    """Load every CSV in ``src_dir`` and rebuild all modelled tables; returns row counts."""
+                 dag_execution_date: str | None = None, workers: int = 4) -> dict[str, int]:
+    """Load every CSV in ``src_dir`` and rebuild all modelled tables; returns row counts.
+
+    ``workers`` bounds how many independent steps of a stage run at once
+    (1 runs every step in turn).
+    """
     etl_ts = etl_ts or new_etl_ts()
-    run = Run(spark, store, etl_ts, dag_execution_date or etl_ts)
+    run = Run(spark, store, etl_ts, dag_execution_date or etl_ts, workers)
 
     # Create declared tables: raw ones empty, statistics ones only if missing.
     for name, schema in RAW_SCHEMAS.items():
@@ -66,35 +92,46 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
     # fixed-schema scan, stamped in the same full-width write.
     sources = list_sources(spark, src_dir)
     fit_shuffle_partitions(spark, sum(size for files in sources.values() for _, size in files))
-    for table, files in sources.items():
-        paths = [path for path, _ in files]
+
+    def load(table: str, paths: list[str]) -> Callable[[], DataFrame]:
         schema = raw_schema(table)
-        run.materialise(RAW_DB, table, RAW_STATISTICS_TABLE,
-                        lambda p=paths, s=schema: stamp(read_csv(spark, p, s), etl_ts))
+        return lambda: run.materialise(RAW_DB, table, RAW_STATISTICS_TABLE,
+                                       lambda: stamp(read_csv(spark, paths, schema), etl_ts))
 
+    run.stage({table: load(table, [path for path, _ in files]) for table, files in sources.items()})
     raw = {name: store.read(RAW_DB, name) for name in RAW_SCHEMAS}
 
-    def mart(table: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return run.materialise(MART_DB, table, MART_STATISTICS_TABLE, build)
-
-    app_dim = mart(dims.APP_USER_DIM, lambda: dims.build_app_user_dim(
-        raw["package_engagement_metrics"], raw["app_ratings"], raw["user_installs"],
-        raw["user_subscription_trials"], etl_ts))
-    camp_dim = mart(dims.CAMPAIGN_DIM, lambda: dims.build_campaign_dim(
-        raw["user_installs"], raw["ua_campaign_spendings"], etl_ts))
-
-    installs = mart(facts.INSTALLS, lambda: facts.build_installs(
-        raw["user_installs"], app_dim, camp_dim, etl_ts))
-    trials = mart(facts.TRIALS, lambda: facts.build_trials(
-        raw["user_subscription_trials"], app_dim, etl_ts))
-    ratings = mart(facts.RATING, lambda: facts.build_ratings(raw["app_ratings"], app_dim, etl_ts))
-    engagement = mart(facts.ENGAGEMENT, lambda: facts.build_engagement(
-        raw["package_engagement_metrics"], app_dim, etl_ts))
-    mart(facts.SPEND, lambda: facts.build_spend(raw["ua_campaign_spendings"], camp_dim, etl_ts))
-
-    mart(marts.MERGED, lambda: marts.build_merged_app_users(
-        installs, trials, ratings, engagement, etl_ts))
-    mart(marts.COUNTRY_AVERAGES, lambda: marts.build_country_averages(
-        engagement, raw["country_code_to_name"], etl_ts))
+    def mart(table: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: run.materialise(MART_DB, table, MART_STATISTICS_TABLE, build)
+
+    dim = run.stage({
+        dims.APP_USER_DIM: mart(dims.APP_USER_DIM, lambda: dims.build_app_user_dim(
+            raw["package_engagement_metrics"], raw["app_ratings"], raw["user_installs"],
+            raw["user_subscription_trials"], etl_ts)),
+        dims.CAMPAIGN_DIM: mart(dims.CAMPAIGN_DIM, lambda: dims.build_campaign_dim(
+            raw["user_installs"], raw["ua_campaign_spendings"], etl_ts)),
+    })
+    app_dim, camp_dim = dim[dims.APP_USER_DIM], dim[dims.CAMPAIGN_DIM]
+
+    fact = run.stage({
+        facts.INSTALLS: mart(facts.INSTALLS, lambda: facts.build_installs(
+            raw["user_installs"], app_dim, camp_dim, etl_ts)),
+        facts.TRIALS: mart(facts.TRIALS, lambda: facts.build_trials(
+            raw["user_subscription_trials"], app_dim, etl_ts)),
+        facts.RATING: mart(facts.RATING, lambda: facts.build_ratings(
+            raw["app_ratings"], app_dim, etl_ts)),
+        facts.ENGAGEMENT: mart(facts.ENGAGEMENT, lambda: facts.build_engagement(
+            raw["package_engagement_metrics"], app_dim, etl_ts)),
+        facts.SPEND: mart(facts.SPEND, lambda: facts.build_spend(
+            raw["ua_campaign_spendings"], camp_dim, etl_ts)),
+    })
+
+    run.stage({
+        marts.MERGED: mart(marts.MERGED, lambda: marts.build_merged_app_users(
+            fact[facts.INSTALLS], fact[facts.TRIALS], fact[facts.RATING],
+            fact[facts.ENGAGEMENT], etl_ts)),
+        marts.COUNTRY_AVERAGES: mart(marts.COUNTRY_AVERAGES, lambda: marts.build_country_averages(
+            fact[facts.ENGAGEMENT], raw["country_code_to_name"], etl_ts)),
+    })
 
     return run.row_counts
