@@ -20,7 +20,7 @@ from appmart import operators as ops
 from appmart.functions.keys import app_user_key, campaign_key, day_text_from_date
 from appmart.plans import dims, facts, marts
 from appmart.plans.stats import statistics_frame
-from appmart.session import configure, materialise, run_dir
+from appmart.session import configure, materialise, run_dir, side_by_side
 from appmart.sources import fixtures as fx
 from appmart.sources.csv import read_csv, write_csv
 from appmart.schemas import RAW_SCHEMAS
@@ -85,6 +85,15 @@ class Inputs:
         keep = name in _DIMENSIONS or name in self.stored_facts
         return self._get(name, lambda: self.lazy(name), keep=keep)
 
+    def prefetch(self, *stages: Sequence[str]) -> None:
+        """Build the given inputs ahead, each stage's tables side by side.
+
+        Tables of one stage must not depend on each other (dimensions, then
+        facts), so no two threads build the same table.
+        """
+        for names in stages:
+            side_by_side({name: (lambda n=name: self.table(n)) for name in names})
+
     @property
     def app_dim(self): return self.table(dims.APP_USER_DIM)
     @property
@@ -248,6 +257,7 @@ def q_join_coalesce_fallback(i: Inputs) -> DataFrame:
 
 @query("merged_app_users")
 def q_merged_app_users(i: Inputs) -> DataFrame:
+    i.prefetch(_DIMENSIONS)
     return i.lazy(marts.MERGED)
 
 
@@ -412,6 +422,7 @@ def q_app_rating(i: Inputs) -> DataFrame:
 
 @query("user_installs")
 def q_user_installs(i: Inputs) -> DataFrame:
+    i.prefetch(_DIMENSIONS)
     return i.lazy(facts.INSTALLS)
 
 
@@ -432,6 +443,7 @@ def q_avg_session_by_country(i: Inputs) -> DataFrame:
 
 @query("pk_duplicates")
 def q_pk_duplicates(i: Inputs) -> DataFrame:
+    i.prefetch(_DIMENSIONS)
     app = ops.pk_duplicates(i.app_dim, "hash_key").select(
         F.lit(dims.APP_USER_DIM).alias("table_name"), "hash_key", "row_count")
     camp = ops.pk_duplicates(i.campaign_dim, "hash_key").select(
@@ -450,5 +462,6 @@ def q_fk_orphans(i: Inputs) -> DataFrame:
 @query("table_statistics", stored_facts=_MART_INPUTS)
 def q_table_statistics(i: Inputs) -> DataFrame:
     """Statistics of all nine modelled tables; facts read by several are stored once."""
+    i.prefetch(_DIMENSIONS, _MART_INPUTS)
     frames = [statistics_frame(i.table(name), name, ETL_TS, DAG_EXECUTION_DATE) for name in _BUILDS]
     return reduce(DataFrame.unionByName, frames)

@@ -18,7 +18,6 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +27,7 @@ from appmart.plans import dims, facts, marts
 from appmart.plans.stats import load_statistics
 from appmart.schemas import (MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
-from appmart.session import fit_shuffle_partitions
+from appmart.session import fit_shuffle_partitions, side_by_side
 from appmart.sources.csv import list_sources, read_csv
 from appmart.sources.tables import TableStore
 
@@ -61,15 +60,8 @@ class Run:
         return stored
 
     def stage(self, steps: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-        """Run independent steps side by side; returns their stored tables.
-
-        A failing step re-raises here after the stage's other steps finish.
-        """
-        if self.workers == 1 or len(steps) == 1:
-            return {name: step() for name, step in steps.items()}
-        with ThreadPoolExecutor(max_workers=min(self.workers, len(steps))) as pool:
-            futures = {name: pool.submit(step) for name, step in steps.items()}
-            return {name: future.result() for name, future in futures.items()}
+        """Run independent steps side by side; returns their stored tables."""
+        return side_by_side(steps, self.workers)
 
 
 def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: str | None = None,

@@ -7,6 +7,9 @@ import os
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +58,22 @@ def fit_shuffle_partitions(spark: SparkSession, source_bytes: int) -> int:
     return current
 
 
+R = TypeVar("R")
+
+
+def side_by_side(steps: Mapping[str, Callable[[], R]], workers: int = 4) -> dict[str, R]:
+    """Run independent driver-side steps from up to ``workers`` threads.
+
+    Each step submits its own Spark jobs; Spark schedules jobs from several
+    threads together. A failing step re-raises here after the others finish.
+    """
+    if workers <= 1 or len(steps) <= 1:
+        return {name: step() for name, step in steps.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(steps))) as pool:
+        futures = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the mart needs to an existing session."""
     for key, value in {**REQUIRED_CONF, **PLANNING_CONF}.items():
