@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from appmart.operators import (broadcast_if_small, conform, group_avg, join_coalesce_fallback,
                                join_on, lookup_left, stamp)
 from appmart.schemas import MART_SCHEMAS
-from appmart.session import materialise
+from appmart.session import materialise, side_by_side
 
 MERGED = "merged_app_users"
 COUNTRY_AVERAGES = "avg_session_by_country"
@@ -61,12 +61,14 @@ def build_merged_app_users(installs: DataFrame, trials: DataFrame, ratings: Data
     """
     users = installs.select("hash_key", "user_id", "hash_date_campaign_country").distinct()
     paired = join_on(users, trials_by_day(trials), ["hash_key", "user_id"])
-    stars = materialise(ratings_by_day(ratings), "merged-ratings")
-    rated = join_on(paired, broadcast_if_small(stars), ["hash_key"])
-
-    metrics = materialise(
-        engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct(),
-        "merged-engagement")
+    sides = side_by_side({
+        "stars": lambda: materialise(ratings_by_day(ratings), "merged-ratings"),
+        "metrics": lambda: materialise(
+            engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct(),
+            "merged-engagement"),
+    })
+    rated = join_on(paired, broadcast_if_small(sides["stars"]), ["hash_key"])
+    metrics = sides["metrics"]
     # In the joined rows the install key and the trial key are equal (join
     # condition), so COALESCE(install key, trial key) is the shared hash_key.
     merged, had_null_keys = join_coalesce_fallback(
