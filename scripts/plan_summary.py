@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query (after execution).
+"""Summarise the planning-time physical plan of every registered query.
 
 For each query: shuffles (hash-partitioning exchanges), broadcast and
 sort-merge joins, aggregates, Parquet scans with pushed filters, and any
@@ -38,7 +38,8 @@ def main() -> None:
     for key, build in entry.queries().items():
         df = build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
-        # The final adaptive plan (after AQE re-planning) of the executed query.
+        # The plan chosen at planning time (the write above runs its own copy,
+        # so this is the initial plan inside AdaptiveSparkPlan, before AQE).
         plan = df._jdf.queryExecution().executedPlan().toString()
         rows.append((key, summarise(plan)))
     cols = list(rows[0][1])
