@@ -80,3 +80,18 @@ def test_merged_mart_with_hot_key_is_exact_and_split(spark):
     assert len(got) == len(set(got))            # no duplicates without a final DISTINCT
     assert set(got) == want
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_over_bound_semi_lookup_with_hot_key_is_exact_and_split(spark):
+    from appmart.operators import semi_lookup
+    fact_rows = [("hot", i) for i in range(6000)] + [(f"k{i % 500}", i) for i in range(12000)]
+    dim_rows = [("hot",), ("hot",)] + [(f"k{i}",) for i in range(0, 500, 2)]
+    with conf(spark, SKEW_CONF):
+        fact = spark.createDataFrame(fact_rows, "hash_key string, v long")
+        dim = spark.createDataFrame(dim_rows, "hash_key string")
+        df = semi_lookup(fact, dim, "hash_key", max_broadcast_rows=0)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = {k for (k,) in dim_rows}
+    assert sorted(map(tuple, rows)) == sorted(r for r in fact_rows if r[0] in keys)
+    assert "SortMergeJoin(skew=true)" in plan and "LeftSemi" in plan
