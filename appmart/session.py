@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (UTC timestamps, strict parsing) and the
@@ -70,7 +71,9 @@ def side_by_side(steps: Mapping[str, Callable[[], R]], workers: int = 4) -> dict
     if workers <= 1 or len(steps) <= 1:
         return {name: step() for name, step in steps.items()}
     with ThreadPoolExecutor(max_workers=min(workers, len(steps))) as pool:
-        futures = {name: pool.submit(step) for name, step in steps.items()}
+        # Each step keeps the caller's local properties (job group, description,
+        # scheduler pool), so a fair-scheduler pool set by the user still applies.
+        futures = {name: pool.submit(inheritable_thread_target(step)) for name, step in steps.items()}
         return {name: future.result() for name, future in futures.items()}
 
 

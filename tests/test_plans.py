@@ -79,3 +79,15 @@ def test_over_bound_semi_join_and_distinct_share_one_shuffle(spark):
     plan = plan_of(out)
     assert "SortMergeJoin" in plan and "LeftSemi" in plan
     assert plan.count("Exchange hashpartitioning") == 2     # one per join side, none for DISTINCT
+
+
+def test_side_by_side_steps_keep_the_callers_job_group(spark):
+    from appmart.session import side_by_side
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("side-by-side", "steps")
+    try:
+        out = side_by_side({str(n): (lambda n=n: spark.range(n).count()) for n in (3, 4, 5)})
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert out == {"3": 3, "4": 4, "5": 5}
+    assert len(tracker.getJobIdsForGroup("side-by-side")) >= 3
