@@ -247,7 +247,9 @@ def q_join_coalesced_key(i: Inputs) -> DataFrame:
 def q_join_coalesce_fallback(i: Inputs) -> DataFrame:
     """Engagement joined on rating key = COALESCE(engagement key, install key, trial key)."""
     left = _installs_with_trials(i).select("u_hash_key", "t_hash_key", "u_user_id", "order_id")
-    eng = i.engagement.select(F.col("hash_key").alias("e_hash_key"), "country_code", "sessions")
+    # Stored once: the NULL-key probe and the size check then read stored rows.
+    eng = materialise(i.engagement.select(F.col("hash_key").alias("e_hash_key"), "country_code",
+                                          "sessions"), "engagement-side")
     joined, _ = ops.join_coalesce_fallback(
         left, eng, left_key="u_hash_key", right_key="e_hash_key",
         fallback=F.coalesce(F.col("u_hash_key"), F.col("t_hash_key")))
@@ -454,7 +456,8 @@ def q_pk_duplicates(i: Inputs) -> DataFrame:
 @query("fk_orphans")
 def q_fk_orphans(i: Inputs) -> DataFrame:
     """Install rows whose key is missing from a dimension built from engagement alone."""
-    engagement_only = dims.app_user_rows_by_date(i.engagement_raw).distinct()
+    engagement_only = materialise(dims.app_user_rows_by_date(i.engagement_raw).distinct(),
+                                  "engagement-only-dim")
     orphans = ops.fk_orphans(i.installs, engagement_only, "hash_key")
     return orphans.select("hash_key", "user_id", "hash_date_campaign_country")
 
