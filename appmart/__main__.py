@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--etl-ts", default=None, help="run timestamp (ISO-8601); default: now, UTC")
     parser.add_argument("--dag-execution-date", default=None,
                         help="scheduler run time (ISO-8601); default: the run timestamp")
+    parser.add_argument("--db-raw", default="data", help="namespace of the raw tables")
+    parser.add_argument("--db-mart", default="analytics", help="namespace of the modelled tables")
     parser.add_argument("--workers", type=int, default=4,
                         help="independent steps of a stage run at once (1: one at a time)")
     parser.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
@@ -30,7 +32,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     store = TableStore(spark, args.warehouse)
     counts = run_pipeline(spark, args.src, store, etl_ts=args.etl_ts,
-                          dag_execution_date=args.dag_execution_date, workers=args.workers)
+                          dag_execution_date=args.dag_execution_date, workers=args.workers,
+                          db_raw=args.db_raw, db_mart=args.db_mart)
     print(json.dumps(counts, sort_keys=True))
 
 

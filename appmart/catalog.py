@@ -92,7 +92,7 @@ class Inputs:
         facts), so no two threads build the same table.
         """
         for names in stages:
-            side_by_side({name: (lambda n=name: self.table(n)) for name in names})
+            side_by_side(self.spark, {name: (lambda n=name: self.table(n)) for name in names})
 
     @property
     def app_dim(self): return self.table(dims.APP_USER_DIM)

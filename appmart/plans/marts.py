@@ -61,7 +61,7 @@ def build_merged_app_users(installs: DataFrame, trials: DataFrame, ratings: Data
     """
     users = installs.select("hash_key", "user_id", "hash_date_campaign_country").distinct()
     paired = join_on(users, trials_by_day(trials), ["hash_key", "user_id"])
-    sides = side_by_side({
+    sides = side_by_side(installs.sparkSession, {
         "stars": lambda: materialise(ratings_by_day(ratings), "merged-ratings"),
         "metrics": lambda: materialise(
             engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct(),

@@ -61,13 +61,15 @@ class Run:
 
     def stage(self, steps: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Run independent steps side by side; returns their stored tables."""
-        return side_by_side(steps, self.workers)
+        return side_by_side(self.spark, steps, self.workers)
 
 
 def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: str | None = None,
-                 dag_execution_date: str | None = None, workers: int = 4) -> dict[str, int]:
+                 dag_execution_date: str | None = None, workers: int = 4,
+                 db_raw: str = RAW_DB, db_mart: str = MART_DB) -> dict[str, int]:
     """Load every CSV in ``src_dir`` and rebuild all modelled tables; returns row counts.
 
+    Raw tables go to namespace ``db_raw``, modelled ones to ``db_mart``.
     ``workers`` bounds how many independent steps of a stage run at once
     (1 runs every step in turn).
     """
@@ -76,9 +78,9 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
 
     # Create declared tables: raw ones empty, statistics ones only if missing.
     for name, schema in RAW_SCHEMAS.items():
-        store.ensure(RAW_DB, name, stamped(schema))
-    store.ensure(RAW_DB, RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
-    store.ensure(MART_DB, MART_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
+        store.ensure(db_raw, name, stamped(schema))
+    store.ensure(db_raw, RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
+    store.ensure(db_mart, MART_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
 
     # Size the shuffle width from the input once, then load: positional
     # fixed-schema scan, stamped in the same full-width write.
@@ -87,14 +89,14 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
 
     def load(table: str, paths: list[str]) -> Callable[[], DataFrame]:
         schema = raw_schema(table)
-        return lambda: run.materialise(RAW_DB, table, RAW_STATISTICS_TABLE,
+        return lambda: run.materialise(db_raw, table, RAW_STATISTICS_TABLE,
                                        lambda: stamp(read_csv(spark, paths, schema), etl_ts))
 
     run.stage({table: load(table, [path for path, _ in files]) for table, files in sources.items()})
-    raw = {name: store.read(RAW_DB, name) for name in RAW_SCHEMAS}
+    raw = {name: store.read(db_raw, name) for name in RAW_SCHEMAS}
 
     def mart(table: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-        return lambda: run.materialise(MART_DB, table, MART_STATISTICS_TABLE, build)
+        return lambda: run.materialise(db_mart, table, MART_STATISTICS_TABLE, build)
 
     dim = run.stage({
         dims.APP_USER_DIM: mart(dims.APP_USER_DIM, lambda: dims.build_app_user_dim(

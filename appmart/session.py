@@ -62,7 +62,8 @@ def fit_shuffle_partitions(spark: SparkSession, source_bytes: int) -> int:
 R = TypeVar("R")
 
 
-def side_by_side(steps: Mapping[str, Callable[[], R]], workers: int = 4) -> dict[str, R]:
+def side_by_side(spark: SparkSession, steps: Mapping[str, Callable[[], R]],
+                 workers: int = 4) -> dict[str, R]:
     """Run independent driver-side steps from up to ``workers`` threads.
 
     Each step submits its own Spark jobs; Spark schedules jobs from several
@@ -70,10 +71,12 @@ def side_by_side(steps: Mapping[str, Callable[[], R]], workers: int = 4) -> dict
     """
     if workers <= 1 or len(steps) <= 1:
         return {name: step() for name, step in steps.items()}
+    # Each step keeps the caller's local properties and job tags (job group,
+    # description, scheduler pool), so a fair-scheduler pool set by the user
+    # still applies to the steps' jobs.
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=min(workers, len(steps))) as pool:
-        # Each step keeps the caller's local properties (job group, description,
-        # scheduler pool), so a fair-scheduler pool set by the user still applies.
-        futures = {name: pool.submit(inheritable_thread_target(step)) for name, step in steps.items()}
+        futures = {name: pool.submit(inherit(step)) for name, step in steps.items()}
         return {name: future.result() for name, future in futures.items()}
 
 

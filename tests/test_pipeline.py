@@ -111,3 +111,13 @@ def test_qualify_names():
     assert qualify("t", "data") == ("data", "t")
     with pytest.raises(ValueError):
         qualify("a.b.c", "data")
+
+
+def test_custom_namespaces(spark, run, tmp_path):
+    _, counts, src = run
+    store = TableStore(spark, str(tmp_path / "wh"))
+    got = run_pipeline(spark, src, store, etl_ts=ETL, dag_execution_date=ETL,
+                       db_raw="landing", db_mart="mart")
+    assert got == {k.replace(f"{RAW_DB}.", "landing.").replace(f"{MART_DB}.", "mart."): v
+                   for k, v in counts.items()}
+    assert store.exists("mart", marts.MERGED) and store.exists("landing", RAW_STATISTICS_TABLE)

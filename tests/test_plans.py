@@ -86,7 +86,7 @@ def test_side_by_side_steps_keep_the_callers_job_group(spark):
     sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
     sc.setJobGroup("side-by-side", "steps")
     try:
-        out = side_by_side({str(n): (lambda n=n: spark.range(n).count()) for n in (3, 4, 5)})
+        out = side_by_side(spark, {str(n): (lambda n=n: spark.range(n).count()) for n in (3, 4, 5)})
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert out == {"3": 3, "4": 4, "5": 5}
