@@ -27,7 +27,7 @@ from appmart.plans import dims, facts, marts
 from appmart.plans.stats import load_statistics
 from appmart.schemas import (MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
-from appmart.session import fit_shuffle_partitions, side_by_side
+from appmart.session import fit_shuffle_partitions, fit_split_size, side_by_side
 from appmart.sources.csv import list_sources, read_csv
 from appmart.sources.tables import TableStore
 
@@ -82,10 +82,12 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
     store.ensure(db_raw, RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
     store.ensure(db_mart, MART_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
 
-    # Size the shuffle width from the input once, then load: positional
-    # fixed-schema scan, stamped in the same full-width write.
+    # Size the shuffle width and the input splits from the input once, then
+    # load: positional fixed-schema scan, stamped in the same full-width write.
     sources = list_sources(spark, src_dir)
-    fit_shuffle_partitions(spark, sum(size for files in sources.values() for _, size in files))
+    source_bytes = sum(size for files in sources.values() for _, size in files)
+    fit_shuffle_partitions(spark, source_bytes)
+    fit_split_size(spark, source_bytes)
 
     def load(table: str, paths: list[str]) -> Callable[[], DataFrame]:
         schema = raw_schema(table)

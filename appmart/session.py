@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 import uuid
 import weakref
@@ -80,6 +81,35 @@ def side_by_side(spark: SparkSession, steps: Mapping[str, Callable[[], R]],
         return {name: future.result() for name, future in futures.items()}
 
 
+# At most this many input splits per scan of the sources: past it the split
+# size grows (up to MAX_SPLIT_BYTES), so a 100 TiB load is not 800k tasks.
+MAX_INPUT_SPLITS = 200_000
+MAX_SPLIT_BYTES = 1 << 30
+_BYTE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+               "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def conf_bytes(text: str) -> int:
+    """A Spark size setting (``134217728b``, ``512m``, ``1g``, ``4096``) in bytes."""
+    match = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", text)
+    if not match or match.group(2).lower() not in _BYTE_UNITS:
+        raise ValueError(f"not a size: {text!r}")
+    return int(match.group(1)) * _BYTE_UNITS[match.group(2).lower()]
+
+
+def fit_split_size(spark: SparkSession, source_bytes: int) -> int:
+    """Raise ``spark.sql.files.maxPartitionBytes`` so ``source_bytes`` of input
+    make at most about MAX_INPUT_SPLITS splits. Never lowers a setting the
+    user chose; returns the split size in effect, in bytes."""
+    key = "spark.sql.files.maxPartitionBytes"
+    current = conf_bytes(spark.conf.get(key))
+    wanted = min(MAX_SPLIT_BYTES, math.ceil(source_bytes / MAX_INPUT_SPLITS))
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+        return wanted
+    return current
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the mart needs to an existing session."""
     for key, value in {**REQUIRED_CONF, **PLANNING_CONF}.items():

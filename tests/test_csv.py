@@ -106,3 +106,25 @@ def test_unknown_source_name_has_no_schema():
     from appmart.schemas import raw_schema
     with pytest.raises(KeyError):
         raw_schema("not_a_table")
+
+
+@pytest.mark.parametrize("text,expected", [("134217728b", 1 << 27), ("512m", 512 << 20), ("1g", 1 << 30),
+                                           ("4096", 4096), ("2KB", 2048)])
+def test_conf_bytes(text, expected):
+    from appmart.session import conf_bytes
+    assert conf_bytes(text) == expected
+
+
+def test_split_size_is_raised_never_lowered(spark):
+    from appmart.session import MAX_SPLIT_BYTES, conf_bytes, fit_split_size
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "128m")
+        assert fit_split_size(spark, 1 << 30) == 128 << 20            # small input: unchanged
+        assert fit_split_size(spark, 100 << 40) == 549_755_814        # 100 TiB / 200k splits, ~524 MiB
+        assert conf_bytes(spark.conf.get(key)) == 549_755_814
+        assert fit_split_size(spark, 100 << 50) == MAX_SPLIT_BYTES     # capped at 1 GiB
+        assert fit_split_size(spark, 1 << 30) == MAX_SPLIT_BYTES       # never lowered
+    finally:
+        spark.conf.set(key, before)
