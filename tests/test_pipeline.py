@@ -121,3 +121,19 @@ def test_custom_namespaces(spark, run, tmp_path):
     assert got == {k.replace(f"{RAW_DB}.", "landing.").replace(f"{MART_DB}.", "mart."): v
                    for k, v in counts.items()}
     assert store.exists("mart", marts.MERGED) and store.exists("landing", RAW_STATISTICS_TABLE)
+
+
+def test_catalog_mode_run_matches(spark, run, tmp_path):
+    # Session-catalog tables (the command line's default), steps side by side.
+    _, counts, src = run
+    for db in ("cat_raw", "cat_mart"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / db}'")
+    try:
+        got = run_pipeline(spark, src, TableStore(spark), etl_ts=ETL, dag_execution_date=ETL,
+                           workers=4, db_raw="cat_raw", db_mart="cat_mart")
+        assert got == {k.replace(f"{RAW_DB}.", "cat_raw.").replace(f"{MART_DB}.", "cat_mart."): v
+                       for k, v in counts.items()}
+        assert spark.table(f"cat_mart.{marts.MERGED}").count() == counts[f"{MART_DB}.{marts.MERGED}"]
+    finally:
+        for db in ("cat_raw", "cat_mart"):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
