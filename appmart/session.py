@@ -74,10 +74,12 @@ def side_by_side(spark: SparkSession, steps: Mapping[str, Callable[[], R]],
         return {name: step() for name, step in steps.items()}
     # Each step keeps the caller's local properties and job tags (job group,
     # description, scheduler pool), so a fair-scheduler pool set by the user
-    # still applies to the steps' jobs.
-    inherit = inheritable_thread_target(spark)
+    # still applies to the steps' jobs. The wrapper is made per step: it
+    # snapshots the properties when made, and steps must not share one
+    # snapshot (Spark keeps the running query's execution id in it).
     with ThreadPoolExecutor(max_workers=min(workers, len(steps))) as pool:
-        futures = {name: pool.submit(inherit(step)) for name, step in steps.items()}
+        futures = {name: pool.submit(inheritable_thread_target(spark)(step))
+                   for name, step in steps.items()}
         return {name: future.result() for name, future in futures.items()}
 
 

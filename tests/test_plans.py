@@ -91,3 +91,17 @@ def test_side_by_side_steps_keep_the_callers_job_group(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert out == {"3": 3, "4": 4, "5": 5}
     assert len(tracker.getJobIdsForGroup("side-by-side")) >= 3
+
+
+def test_side_by_side_steps_do_not_share_local_properties(spark):
+    # Each step sets a property of its own; with a shared snapshot they would clash.
+    from appmart.session import side_by_side
+    sc = spark.sparkContext
+
+    def step(n):
+        sc.setLocalProperty("appmart.test.step", str(n))
+        spark.range(n * 1000).selectExpr("sum(id)").collect()
+        return sc.getLocalProperty("appmart.test.step")
+
+    out = side_by_side(spark, {str(n): (lambda n=n: step(n)) for n in range(1, 9)}, workers=8)
+    assert out == {str(n): str(n) for n in range(1, 9)}
