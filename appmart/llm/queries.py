@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.session import run_dir
 
-from . import quality_rules, sharding, url_filter, warc
+from . import ngram_jaccard, quality_rules, sharding, url_filter, warc
 
+SHINGLE_WORDS, SIMILAR_PERCENT = 3, 90
 SHARDS = 24
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/")]
@@ -22,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 3-word Jaccard of at least 0.9."""
+    found = ngram_jaccard.similar_components(_table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``rows``: 24 shards whose row counts differ by at most one."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -60,7 +67,7 @@ def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
+    return {"op1_ngram_jaccard": op1_ngram_jaccard, "op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
             "op7_warc_audit": op7_warc_audit}
 
 
