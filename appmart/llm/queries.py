@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.session import run_dir
 
-from . import ngram_jaccard, quality_rules, sharding, url_filter, warc
+from . import decontaminate, mixing, ngram_jaccard, quality_rules, sharding, url_filter, warc
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 3, 90
 SHARDS = 24
@@ -66,9 +66,23 @@ def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(*[warc.read_records(spark, f) for f in folders]).select("page_id", "length", "digest", "status")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked benchmark items of every document."""
+    judged = decontaminate.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return judged.select("d.doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").cast("long").alias("n_items"),
+                         F.array_join(F.transform("items", lambda i: i.cast("string")), ",").alias("items"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of every document."""
+    rated = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return rated.select("d.doc_id", "tokens", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)],
+                        "rate", "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_ngram_jaccard": op1_ngram_jaccard, "op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
-            "op7_warc_audit": op7_warc_audit}
+            "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing}
 
 
 _Q = quality_rules
@@ -114,19 +128,28 @@ FROM r LEFT JOIN own ON r.lang IS NOT DISTINCT FROM own.lang AND r.source IS NOT
 LEFT JOIN bylang ON r.lang IS NOT DISTINCT FROM bylang.lang CROSS JOIN corpus
 """
 
-_WARC_HTML = (f"CASE WHEN crc % {DAMAGE_MODULUS} = {DAMAGE_REST} AND starts_with(h, '<') "
-              "THEN 'corrupt' ELSE 'ok' END")
-OP7_SQL = f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS h,
-    regexp_replace(coalesce(url, ''), '[\\r\\n]', '%0A', 'g') AS u FROM pages),
-r AS (SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
-    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || u
-    || chr(13) || chr(10) || 'WARC-Date: {warc.WRITTEN}' || chr(13) || chr(10) || 'Content-Type: text/html'
-    || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(h)) || chr(13) || chr(10) || chr(13) || chr(10)
-    || h AS record FROM p)
-SELECT page_id, CAST(octet_length(encode(record)) + 4 AS BIGINT) AS length, sha256(record) AS digest FROM r
+OP8_SQL = r"""
+WITH dw AS (SELECT row_number() OVER () AS rid, doc_id,
+        list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws FROM documents),
+iw AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+        lambda w: w <> '') AS ws FROM benchmark),
+ds AS (SELECT rid, p, array_to_string(ws[p:p + 4], ' ') AS s
+       FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS p FROM dw WHERE len(ws) >= 5)),
+its AS (SELECT item_id, m, array_to_string(ws[o:o + 4], ' ') AS s
+        FROM (SELECT item_id, ws, len(ws) - 4 AS m, unnest(range(1, len(ws) - 3)) AS o FROM iw WHERE len(ws) >= 5)),
+ic AS (SELECT item_id, m, s, count(*) AS ci FROM its GROUP BY ALL),
+hits AS (SELECT rid, p, item_id, m, s, ci FROM ds JOIN ic USING (s)),
+starts AS (SELECT DISTINCT rid, item_id, m, unnest(range(greatest(1, p - m + 1), p + 1)) AS st FROM hits),
+fit AS (SELECT starts.* FROM starts JOIN dw USING (rid) WHERE st + m - 1 <= len(ws) - 4),
+cnt AS (SELECT f.rid, f.item_id, f.m, f.st, h.s, h.ci, count(*) AS cw FROM fit f JOIN hits h
+        ON h.rid = f.rid AND h.item_id = f.item_id AND h.p BETWEEN f.st AND f.st + f.m - 1 GROUP BY ALL),
+sim AS (SELECT rid, item_id, m, st, sum(least(ci, cw)) AS i FROM cnt GROUP BY ALL),
+leak AS (SELECT rid, list_sort(list(DISTINCT item_id)) AS items FROM sim WHERE i >= 0.8 * (2 * m - i) GROUP BY rid)
+SELECT doc_id, items IS NOT NULL AS leaked, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+    coalesce(array_to_string(items, ','), '') AS items
+FROM dw LEFT JOIN leak USING (rid)
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4_SQL}
+    return {"op4_quality_rules": OP4_SQL, "op8_decontaminate": OP8_SQL}

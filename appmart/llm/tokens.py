@@ -19,6 +19,9 @@ _GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB1
 _BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 SPACE = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
+#: White space, control characters and ASCII punctuation: what is left are runs of letters and digits.
+PUNCTUATION = (_BYTES <= 47) | ((_BYTES >= 58) & (_BYTES <= 64)) | ((_BYTES >= 91) & (_BYTES <= 96)) | (
+    (_BYTES >= 123) & (_BYTES <= 127))
 _LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
@@ -48,12 +51,16 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all rows in order, and where each row's words begin (one more entry at the end)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and length of every word, and where each row's words begin (one more entry at the end).
+
+    ``breaks`` says of each byte whether it ends a word.
+    """
     n = len(data)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[data]
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
+    solid = ~breaks[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     begins = solid.copy()
@@ -61,7 +68,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | cut[1:n]
     start = np.flatnonzero(begins)
-    length = np.flatnonzero(ends) + 1 - start
+    return start, np.flatnonzero(ends) + 1 - start, np.searchsorted(start, offsets).astype(np.int64)
+
+
+def hash_spans(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hash of the A-Z lower-cased bytes of each span, eight bytes a step."""
+    n = len(data)
     padded = np.zeros(n + 8, dtype=np.uint8)
     padded[:n] = LOWER[data]
     eight = np.ndarray(n + 1, dtype="<u8", buffer=padded, strides=(1,))
@@ -74,7 +86,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         more = np.flatnonzero(left > 8)
         todo = more if isinstance(todo, slice) else todo[more]
         at, left = at[more] + 8, left[more] - 8
-    return h, np.searchsorted(start, offsets).astype(np.int64)
+    return h
+
+
+def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all rows in order, and where each row's words begin (one more entry at the end)."""
+    start, length, first = word_spans(data, offsets, breaks)
+    return hash_spans(data, start, length), first
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:
