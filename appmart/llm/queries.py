@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.session import run_dir
 
-from . import decontaminate, mixing, ngram_jaccard, quality_rules, sharding, url_filter, warc
+from . import (decontaminate, lm_score, mixing, ngram_jaccard, quality_rules, sharding, substring_dedup,
+               url_filter, warc)
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 3, 90
 SHARDS = 24
@@ -53,6 +54,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and base score of every document."""
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as two WARC replicas, the second with known damage, and audit them."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -80,9 +86,18 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rate", "copies")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that each document shares with others."""
+    found = substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.size("spans").cast("long").alias("n_passages"), "n_repeated_words",
+                        F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
+                        .alias("passages"), "first_doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_ngram_jaccard": op1_ngram_jaccard, "op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
-            "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing}
+            "op6_lm_score": op6_lm_score, "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing,
+            "op10_substring_dedup": op10_substring_dedup}
 
 
 _Q = quality_rules
