@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.session import run_dir
 
-from . import (decontaminate, lm_score, mixing, ngram_jaccard, quality_rules, sharding, substring_dedup,
+from . import (decontaminate, html_extract, lm_score, mixing, ngram_jaccard, quality_rules, sharding, substring_dedup,
                url_filter, warc)
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 3, 90
@@ -54,6 +54,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model and base score of every document."""
     return lm_score.score(_table(spark, sf_dir, "documents"))
@@ -96,7 +101,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_ngram_jaccard": op1_ngram_jaccard, "op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
-            "op6_lm_score": op6_lm_score, "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing,
+            "op5_html_extract": op5_html_extract, "op6_lm_score": op6_lm_score, "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing,
             "op10_substring_dedup": op10_substring_dedup}
 
 
