@@ -1,4 +1,4 @@
-"""Run the full-refresh pipeline: ``spark-submit -m appmart --src DIR [--warehouse PATH]``.
+"""Run the full-refresh pipeline: ``python -m appmart --src DIR [--warehouse PATH]``, or by ``submit_pipeline.py``.
 
 Without ``--warehouse`` the tables go to the session catalog (databases
 ``data`` and ``analytics``); with it, to Parquet folders under PATH (a
@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
                         help="scheduler run time (ISO-8601); default: the run timestamp")
     parser.add_argument("--db-raw", default="data", help="namespace of the raw tables")
     parser.add_argument("--db-mart", default="analytics", help="namespace of the modelled tables")
+    parser.add_argument("--optional", nargs="*", default=[], metavar="TABLE",
+                        help="raw tables that may have no source (then empty)")
     parser.add_argument("--workers", type=int, default=4,
                         help="independent steps of a stage run at once (1: one at a time)")
     parser.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
@@ -33,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     store = TableStore(spark, args.warehouse)
     counts = run_pipeline(spark, args.src, store, etl_ts=args.etl_ts,
                           dag_execution_date=args.dag_execution_date, workers=args.workers,
-                          db_raw=args.db_raw, db_mart=args.db_mart)
+                          db_raw=args.db_raw, db_mart=args.db_mart, optional=args.optional)
     print(json.dumps(counts, sort_keys=True))
 
 

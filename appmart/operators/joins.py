@@ -1,7 +1,7 @@
 """Join operators (C1–C7) and the size check that guards every broadcast.
 
-Broadcasting is only ever decided by :func:`fits`, which proves a row bound
-with bounded work (``limit(n + 1).count()``); a side over the bound takes a
+Broadcasting is only ever decided by :func:`fits`, which counts the rows (one
+number per task) and reads the stored size; a side over a bound takes a
 shuffle join instead, where AQE splits partitions made large by a hot key
 (``spark.sql.adaptive.skewJoin.enabled`` with ``forceOptimizeSkewedJoin``,
 set by :mod:`appmart.session`).
@@ -19,20 +19,27 @@ from appmart.session import size_checks
 # Rows a side may have to be broadcast. A broadcast table is copied to every
 # executor, so the bound is on the copy, not on the data the job reads.
 DEFAULT_BROADCAST_ROWS = 500_000
+# Bytes its files may have, as rows of long texts can be few and large.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 # Rows per bucket when NULL-key rows must pair with every eligible left row.
 ORPHAN_BUCKET_ROWS = 100_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; stops reading past the bound.
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and its plan's size is at most ``max_bytes``.
 
-    For a stored (write-once) table the answer is remembered, so checking
-    one dimension for several facts runs one job.
+    The row count is a plain aggregate: each task sends one number (a stored
+    table answers from its file footers). The bytes are the planner's figure,
+    for a stored table the size of its files. For a stored (write-once) table
+    the answer is remembered, so checking one dimension for several facts
+    runs one job.
     """
     known = size_checks(df)
     if known is not None and max_rows in known:
         return known[max_rows]
-    result = df.limit(max_rows + 1).count() <= max_rows
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    stored = known is not None
+    result = (not stored or size <= max_bytes) and df.count() <= max_rows
     if known is not None:
         known[max_rows] = result
     return result

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +28,7 @@ from appmart.plans.stats import load_statistics
 from appmart.schemas import (MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
 from appmart.session import fit_shuffle_partitions, fit_split_size, side_by_side
-from appmart.sources.csv import list_sources, read_csv
+from appmart.sources.csv import discover_sources, read_csv
 from appmart.sources.tables import TableStore
 
 RAW_DB = "data"
@@ -66,35 +66,38 @@ class Run:
 
 def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: str | None = None,
                  dag_execution_date: str | None = None, workers: int = 4,
-                 db_raw: str = RAW_DB, db_mart: str = MART_DB) -> dict[str, int]:
+                 db_raw: str = RAW_DB, db_mart: str = MART_DB,
+                 optional: Collection[str] = ()) -> dict[str, int]:
     """Load every CSV in ``src_dir`` and rebuild all modelled tables; returns row counts.
 
     Raw tables go to namespace ``db_raw``, modelled ones to ``db_mart``.
     ``workers`` bounds how many independent steps of a stage run at once
-    (1 runs every step in turn).
+    (1 runs every step in turn). ``optional`` names raw tables that may have no
+    source; they are then empty. Any other gap or stranger in ``src_dir`` is an error.
     """
     etl_ts = etl_ts or new_etl_ts()
     run = Run(spark, store, etl_ts, dag_execution_date or etl_ts, workers)
 
-    # Create declared tables: raw ones empty, statistics ones only if missing.
-    for name, schema in RAW_SCHEMAS.items():
-        store.ensure(db_raw, name, stamped(schema))
+    # Every source is found and named before anything is written, so a bad
+    # folder leaves the tables of the last run as they are.
+    sources = discover_sources(spark, src_dir, RAW_SCHEMAS, optional)
+    for name in set(RAW_SCHEMAS) - set(sources):
+        store.ensure(db_raw, name, stamped(RAW_SCHEMAS[name]))
     store.ensure(db_raw, RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
     store.ensure(db_mart, MART_STATISTICS_TABLE, STATISTICS_SCHEMA, keep=True)
 
     # Size the shuffle width and the input splits from the input once, then
     # load: positional fixed-schema scan, stamped in the same full-width write.
-    sources = list_sources(spark, src_dir)
-    source_bytes = sum(size for files in sources.values() for _, size in files)
+    source_bytes = sum(size for _, size in sources.values())
     fit_shuffle_partitions(spark, source_bytes)
     fit_split_size(spark, source_bytes)
 
-    def load(table: str, paths: list[str]) -> Callable[[], DataFrame]:
+    def load(table: str, path: str) -> Callable[[], DataFrame]:
         schema = raw_schema(table)
         return lambda: run.materialise(db_raw, table, RAW_STATISTICS_TABLE,
-                                       lambda: stamp(read_csv(spark, paths, schema), etl_ts))
+                                       lambda: stamp(read_csv(spark, path, schema), etl_ts))
 
-    run.stage({table: load(table, [path for path, _ in files]) for table, files in sources.items()})
+    run.stage({table: load(table, path) for table, (path, _) in sources.items()})
     raw = {name: store.read(db_raw, name) for name in RAW_SCHEMAS}
 
     def mart(table: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:

@@ -84,7 +84,6 @@ MART_SCHEMAS: dict[str, T.StructType] = {
 }
 
 # Tables that survive a full refresh (appended to, never dropped).
-KEEP_TABLES = frozenset({RAW_STATISTICS_TABLE, MART_STATISTICS_TABLE})
 
 
 def raw_schema(table: str) -> T.StructType:

@@ -10,8 +10,8 @@ pipeline writes the raw table first and counts the written copy.
 from __future__ import annotations
 
 import posixpath
-from collections import defaultdict
-from collections.abc import Sequence
+import re
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,36 +51,67 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def table_name_of(relative_path: str) -> str:
-    """Table name of a source: its top-level entry's name up to the first dot."""
-    top = relative_path.strip("/").split("/", 1)[0]
-    return top.split(".", 1)[0]
+#: A source is named after its table: ``name.csv``, compressed or not, one file or a folder of part files.
+_SOURCE_NAME = re.compile(r"([^.]+)(\.[^/]+)?\.csv(\.(gz|bz2|zst|lz4|snappy|deflate))?", re.IGNORECASE)
+_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")
 
 
-def list_sources(spark: SparkSession, directory: str) -> dict[str, list[tuple[str, int]]]:
-    """Map table name → (CSV file, size in bytes) under ``directory``.
+def relative_path(root: str, path: str) -> str:
+    """``path`` below ``root``; either may carry a scheme and host, or leave the default ones out."""
+    base, full = (posixpath.normpath(_SCHEME.sub("", p) or "/") for p in (root, path))
+    inside = posixpath.relpath(full, base)
+    if inside == ".." or inside.startswith("../"):
+        raise ValueError(f"{path} is not below {root}")
+    return inside
 
-    A source is a ``name.csv`` file or a ``name.csv/`` folder of part files.
-    The listing is a file-metadata scan (the binary-file source reads no
-    content when only ``path`` and ``length`` are selected); it returns one
-    row per file, so its size is the number of files, not the data.
+
+def table_name_of(relative: str) -> str | None:
+    """Table name of a source from its top-level entry; None if that is not a CSV source."""
+    found = _SOURCE_NAME.fullmatch(relative.strip("/").split("/", 1)[0])
+    return found.group(1) if found else None
+
+
+def list_sources(spark: SparkSession, directory: str) -> dict[str, tuple[str, int]]:
+    """Map each top-level entry of ``directory`` → (path, size in bytes).
+
+    A file-metadata scan (the binary-file source reads no content when only
+    path and length are selected). Sizes are summed on the executors; one row
+    per entry comes back, however many part files a folder holds. Hidden
+    files (``_`` or ``.`` first) are not listed.
     """
-    listing = (spark.read.format("binaryFile")
-               .option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", "true")
-               .load(directory)
-               .select(F.col("path"), F.col("length")))
     root = directory.rstrip("/")
-    sources: dict[str, list[tuple[str, int]]] = defaultdict(list)
-    for row in listing.collect():
-        path = row["path"]
-        local = path.split(":", 1)[1] if path.startswith("file:") else path
-        rel = posixpath.relpath(local, root.split(":", 1)[1] if root.startswith("file:") else root)
-        sources[table_name_of(rel)].append((path, int(row["length"])))
-    return {name: sorted(files) for name, files in sorted(sources.items())}
-
-
-def discover_sources(spark: SparkSession, directory: str) -> dict[str, list[str]]:
-    """Map table name → CSV files under ``directory`` (see :func:`list_sources`)."""
-    return {name: [path for path, _ in files]
-            for name, files in list_sources(spark, directory).items()}
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    root = folder.getFileSystem(conf).makeQualified(folder).toString()
+    entries = {relative_path(root, e.getPath().toString()): e.getPath().toString()
+               for e in folder.getFileSystem(conf).listStatus(folder)
+               if not e.getPath().getName().startswith(("_", "."))}
+    if not entries:
+        return {}
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+               .select(F.split(F.regexp_replace(F.col("path"), _SCHEME.pattern, ""), "/").alias("parts"), "length"))
+    depth = len([p for p in _SCHEME.sub("", root).split("/") if p]) + 1
+    sizes = {r["entry"]: r["size"] for r in listing.groupBy(F.element_at("parts", depth + 1).alias("entry")).agg(
+        F.sum("length").alias("size")).collect()}
+    return {entry: (path, int(sizes.get(entry) or 0)) for entry, path in sorted(entries.items())}
+
+
+def discover_sources(spark: SparkSession, directory: str, tables: Collection[str],
+                     optional: Collection[str] = ()) -> dict[str, tuple[str, int]]:
+    """Map each of ``tables`` → (path, size) of its source below ``directory``.
+
+    Anything else there, two sources for one table, or a missing table that is
+    not in ``optional`` is an error: nothing is skipped or taken as empty.
+    """
+    found: dict[str, tuple[str, int]] = {}
+    wrong = []
+    for entry, source in list_sources(spark, directory).items():
+        name = table_name_of(entry)
+        if name not in tables or name in found:
+            wrong.append(entry)
+        else:
+            found[name] = source
+    missing = sorted(set(tables) - set(found) - set(optional))
+    if wrong or missing:
+        raise ValueError(f"sources in {directory}: not recognised {sorted(wrong)}, missing {missing}")
+    return found

@@ -5,11 +5,16 @@ namespace) or, when a root folder is given, as Parquet folders under
 ``root/<namespace>/<table>`` — e.g. a run folder inside the cluster-shared
 ``spark.checkpoint.dir``. Either way a written table cuts the lineage: the
 next step reads the stored files, not the plan that produced them.
+
+A replaced table is written as a new version first. Only when that is complete
+does the table switch to it, so a job that fails midway leaves the last good
+version readable. The version before the current one is kept, older ones go.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,40 +37,74 @@ class TableStore:
         self.root = root.rstrip("/") if root else None
 
     def location(self, db: str, table: str) -> str:
+        """The table's name, or the folder that holds its versions."""
         return f"{self.root}/{db}/{table}" if self.root else f"{db}.{table}"
 
+    def _fs(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _versions(self, db: str, table: str) -> list[str]:
+        """Published versions, oldest first: a marker file names each, with a rising number."""
+        fs, folder = self._fs(self.location(db, table))
+        if not fs.exists(folder):
+            return []
+        names = [e.getPath().getName() for e in fs.listStatus(folder)]
+        return sorted(n[len("_published-"):] for n in names if n.startswith("_published-"))
+
+    def current(self, db: str, table: str) -> str:
+        """Folder of the current version."""
+        versions = self._versions(db, table)
+        if not versions:
+            raise FileNotFoundError(f"no published version of {self.location(db, table)}")
+        return f"{self.location(db, table)}/{versions[-1]}"
+
     def exists(self, db: str, table: str) -> bool:
         if self.root is None:
             return self.spark.catalog.tableExists(f"{db}.{table}")
-        try:
-            self.spark.read.parquet(self.location(db, table)).schema
-            return True
-        except AnalysisException:
-            return False
+        return bool(self._versions(db, table))
 
     def read(self, db: str, table: str) -> DataFrame:
         if self.root is None:
             return self.spark.table(f"{db}.{table}")
-        return self.spark.read.parquet(self.location(db, table))
+        return self.spark.read.parquet(self.current(db, table))
 
     def write_full(self, df: DataFrame, db: str, table: str) -> None:
-        """Truncate-and-load (A5): one overwrite, readers never see a half-stamped table."""
-        self._write(df, db, table, "overwrite")
+        """Truncate-and-load (A5): a new version, then the switch."""
+        if self.root is None:
+            self._replace_in_catalog(df, db, table)
+            return
+        versions = self._versions(db, table)
+        number = int(versions[-1].split("-")[1]) + 1 if versions else 1
+        version = f"v-{number:08d}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(f"{self.location(db, table)}/{version}")
+        fs, marker = self._fs(f"{self.location(db, table)}/_published-{version}")
+        fs.create(marker, False).close()  # the switch: one small file appears, or not
+        for old in versions[:-1]:
+            for path in (f"_published-{old}", old):
+                fs, place = self._fs(f"{self.location(db, table)}/{path}")
+                fs.delete(place, True)
 
     def append(self, df: DataFrame, db: str, table: str) -> None:
         """Append rows (A7); a failed write raises."""
-        self._write(df, db, table, "append")
+        if self.root is None:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+            df.write.mode("append").format("parquet").saveAsTable(f"{db}.{table}")
+        elif self.exists(db, table):
+            df.write.mode("append").parquet(self.current(db, table))
+        else:
+            self.write_full(df, db, table)
 
     def ensure(self, db: str, table: str, schema: T.StructType, keep: bool = False) -> None:
         """Create the table with ``schema``; replace it unless ``keep`` and it exists (A4)."""
         if keep and self.exists(db, table):
             return
-        empty = self.spark.createDataFrame([], schema)
-        self._write(empty, db, table, "overwrite")
+        self.write_full(self.spark.createDataFrame([], schema), db, table)
 
-    def _write(self, df: DataFrame, db: str, table: str, mode: str) -> None:
-        if self.root is None:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-            df.write.mode(mode).format("parquet").saveAsTable(f"{db}.{table}")
-        else:
-            df.write.mode(mode).parquet(self.location(db, table))
+    def _replace_in_catalog(self, df: DataFrame, db: str, table: str) -> None:
+        """Write beside the table, then take its name; between the two statements the new rows are under the other name."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        fresh = f"{db}.{table}__new_{uuid.uuid4().hex[:8]}"
+        df.write.format("parquet").saveAsTable(fresh)
+        self.spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
+        self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {db}.{table}")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
 import os
 
 import pytest
 from pyspark.sql import types as T
 
 from appmart.schemas import RAW_SCHEMAS
-from appmart.sources.csv import discover_sources, read_csv, table_name_of, write_csv
+from appmart.sources.csv import discover_sources, read_csv, relative_path, table_name_of, write_csv
 
 SCHEMA = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.LongType()),
                        T.StructField("x", T.DoubleType())])
@@ -64,15 +65,38 @@ def test_table_name_is_file_name_up_to_first_dot():
     assert table_name_of("app_ratings.csv/part-0000.csv") == "app_ratings"
 
 
-def test_discover_sources_files_and_part_folders(spark, scratch):
-    write_text(os.path.join(scratch, "app_ratings.csv"), "a\n")
-    os.makedirs(os.path.join(scratch, "user_installs.csv"))
+def test_relative_path_with_and_without_scheme():
+    for root in ("/shared/in", "/shared/in/", "hdfs:///shared/in", "hdfs://nn:8020/shared/in", "file:/shared/in"):
+        for path in ("hdfs://nn:8020/shared/in/a.csv/part-0", "/shared/in/a.csv/part-0", "file:///shared/in/a.csv/part-0"):
+            assert relative_path(root, path) == "a.csv/part-0"
+    assert relative_path("s3a://bucket", "s3a://bucket/a.csv") == "a.csv"
+    with pytest.raises(ValueError):
+        relative_path("/shared/in", "/shared/other/a.csv")
+
+
+def test_discover_sources_takes_any_csv_name_and_part_folders(spark, scratch):
+    write_text(os.path.join(scratch, "app_ratings.CSV"), "a\n")
+    with gzip.open(os.path.join(scratch, "user_installs.csv.gz"), "wt") as f:
+        f.write("a\n")
+    os.makedirs(os.path.join(scratch, "ua_campaign_spendings.csv"))
     for i in range(2):
-        write_text(os.path.join(scratch, "user_installs.csv", f"part-{i}.csv"), "a\n")
+        write_text(os.path.join(scratch, "ua_campaign_spendings.csv", f"part-0000{i}"), "a,b\n")
+    names = ["app_ratings", "user_installs", "ua_campaign_spendings"]
+    found = discover_sources(spark, scratch, names)
+    assert sorted(found) == sorted(names)
+    assert found["ua_campaign_spendings"][1] == 8
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    assert read_csv(spark, found["user_installs"][0], schema).count() == 0
+
+
+def test_strange_and_missing_sources_are_errors(spark, scratch):
+    write_text(os.path.join(scratch, "app_ratings.csv"), "a\n")
+    with pytest.raises(ValueError, match="missing.*user_installs"):
+        discover_sources(spark, scratch, ["app_ratings", "user_installs"])
+    assert list(discover_sources(spark, scratch, ["app_ratings", "user_installs"], optional=["user_installs"])) == ["app_ratings"]
     write_text(os.path.join(scratch, "notes.txt"), "x\n")
-    found = discover_sources(spark, scratch)
-    assert sorted(found) == ["app_ratings", "user_installs"]
-    assert len(found["user_installs"]) == 2
+    with pytest.raises(ValueError, match="notes.txt"):
+        discover_sources(spark, scratch, ["app_ratings"])
 
 
 def test_raw_schemas_are_all_nullable_with_declared_types():
@@ -85,7 +109,7 @@ def test_raw_schemas_are_all_nullable_with_declared_types():
 def test_list_sources_reports_sizes(spark, scratch):
     from appmart.sources.csv import list_sources
     write_text(os.path.join(scratch, "app_ratings.csv"), "a,b\n1,2\n")
-    assert list_sources(spark, scratch)["app_ratings"][0][1] == len("a,b\n1,2\n")
+    assert list_sources(spark, scratch)["app_ratings.csv"][1] == len("a,b\n1,2\n")
 
 
 def test_shuffle_width_is_raised_never_lowered(spark):

@@ -137,3 +137,40 @@ def test_catalog_mode_run_matches(spark, run, tmp_path):
     finally:
         for db in ("cat_raw", "cat_mart"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_bad_sources_leave_the_last_run_readable(spark, run, tmp_path):
+    store, counts, src = run
+    before = {name: store.read(RAW_DB, name).count() for name in RAW_SCHEMAS}
+    with pytest.raises(ValueError, match="missing"):
+        run_pipeline(spark, str(tmp_path), store, etl_ts=ETL)
+    stranger = os.path.join(src, "extra.csv")
+    with open(stranger, "w") as f:
+        f.write("a\n1\n")
+    try:
+        with pytest.raises(ValueError, match="extra.csv"):
+            run_pipeline(spark, src, store, etl_ts=ETL)
+    finally:
+        os.remove(stranger)
+    assert {name: store.read(RAW_DB, name).count() for name in RAW_SCHEMAS} == before
+
+
+def test_a_write_that_fails_midway_leaves_the_old_version(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write_full(spark.range(5), "data", "t")
+    failing = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        store.write_full(failing, "data", "t")
+    assert store.read("data", "t").count() == 5
+    for n in (6, 7, 8):
+        store.write_full(spark.range(n), "data", "t")
+    assert store.read("data", "t").count() == 8
+
+
+def test_submit_script_shows_its_options():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, os.path.join(root, "submit_pipeline.py"), "--help"],
+                          capture_output=True, text=True, cwd="/", timeout=120)
+    assert said.returncode == 0 and "--src" in said.stdout
