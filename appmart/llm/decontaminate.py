@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from appmart.session import materialise
+from .store import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from appmart.session import materialise
+from .store import materialise
 
 
 def components(edges: DataFrame) -> DataFrame:

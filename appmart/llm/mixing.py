@@ -33,8 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from appmart.session import materialise
-
+from .store import materialise
 from .tokens import PUNCTUATION, hash_spans, text_chunks, word_spans, words
 
 DOMAINS = ("clean", "poor", "toxic")

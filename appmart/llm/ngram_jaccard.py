@@ -35,8 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from appmart.session import materialise
-
+from .store import materialise
 from .bitmap import id_bitmap, in_bitmap
 from .graph import components
 from .tokens import shingles_by_row, text_chunks, words

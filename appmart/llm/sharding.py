@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from appmart.session import materialise
+from .store import materialise
 
 SEED = 20240229
 #: Rows of a shard that one task permutes, about.

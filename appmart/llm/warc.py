@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from appmart.session import materialise
+from .store import materialise
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"

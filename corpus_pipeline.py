@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.llm import decontaminate, mixing, ngram_jaccard, quality_rules, sharding
-from appmart.session import materialise
+from appmart.llm.store import materialise
 
 SHARDS = 24
 #: Near duplicates: five words, similarity 0.8.
