@@ -159,7 +159,7 @@ def _ordered_pairs(pairs: DataFrame) -> DataFrame:
 
 def _unpromising_dropped(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) without those whose sketches already differ by more than similar sets can; stored."""
-    side = nodes.select("node", "n", "sketch")
+    side = nodes.select("nid", "n", "sketch")
     wide = (pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +168,14 @@ def _unpromising_dropped(pairs: DataFrame, nodes: DataFrame, percent: int) -> Da
             good = [_sketch_gap(sa, sb) * (100 + percent) <= (na + nb) * (100 - percent)
                     for na, nb, sa, sb in zip(c["na"], c["nb"], c["sa"], c["sb"])]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-    return materialise(wide.mapInArrow(keep, "a binary, b binary"), "jaccard-pairs")
+    return materialise(wide.mapInArrow(keep, "a long, b long"), "jaccard-pairs")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool) -> DataFrame:
+def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, differences: bool) -> DataFrame:
     """``pairs`` with na, nb, overlap and, if asked for, ``diff``: a's symmetric
     difference to b, entries that b lacks first."""
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    nids = pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
+    ids = materialise(nodes.select("nid", "node").join(nids, "nid", "left_semi"), "jaccard-wanted")
     wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, "node"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +188,8 @@ def _compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool) -> D
                     members.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(members, pa.binary())],
                                              ["node", "members"])
-    found = docs.select("text").mapInArrow(sets, "node binary, members binary").join(ids, "node", "left_semi")
-    stored = materialise(found.dropDuplicates(["node"]), "jaccard-sets")
+    found = docs.select("text").mapInArrow(sets, "node binary, members binary").join(ids, "node")
+    stored = materialise(found.select("nid", "members").dropDuplicates(["nid"]), "jaccard-sets")
     wide = pairs.join(stored.toDF("a", "ma"), "a").join(stored.toDF("b", "mb"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +210,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool) -> D
                 out.append(pa.array(diff, pa.list_(pa.int64())))
                 names.append("diff")
             yield pa.RecordBatch.from_arrays(out, names)
-    return wide.mapInArrow(compare, "a binary, b binary, na long, nb long, overlap long"
+    return wide.mapInArrow(compare, "a long, b long, na long, nb long, overlap long"
                            + (", diff array<long>" if differences else ""))
 
 
@@ -219,37 +220,38 @@ def _similar(percent: int, na: str = "na", nb: str = "nb", overlap: Column | Non
 
 
 def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b) node pairs that connect just what all similar pairs of nodes connect.
+    """(a, b) pairs of node numbers that connect just what all similar pairs of nodes connect.
 
     Every similar pair is either in the result or joined by links to a common anchor.
     """
-    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    lists = entries.groupBy("token").agg(
-        F.count(F.lit(1)).alias("len"), F.min(F.struct("pos", "n", "node")).alias("lead")).filter("len > 1")
+    entries = nodes.select("nid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    # Most tokens have a single entry: only their counts move, then the entries of the others are kept.
+    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("len")).filter("len > 1")
     live = materialise(entries.join(lists, "token"), "jaccard-lists")
 
     # Short lists: all their pairs that can qualify. At most SHORT_LIST entries are gathered.
     short = live.filter(F.col("len") <= SHORT_LIST).groupBy("token").agg(
-        F.collect_list(F.struct("node", "n", "pos")).alias("e"))
+        F.collect_list(F.struct("nid", "n", "pos")).alias("e"))
     x = short.select("e", F.posexplode("e").alias("i", "x"))
     y = x.select("x", F.explode(F.expr("slice(e, i + 2, size(e))")).alias("y"))
     near = y.filter(_can_meet(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        F.col("x.nid").alias("a"), F.col("y.nid").alias("b"))
     near = _unpromising_dropped(_ordered_pairs(near), nodes, percent)
-    direct = _compared(near, docs, k, differences=False).filter(_similar(percent)).select("a", "b")
+    direct = _compared(near, docs, nodes, k, differences=False).filter(_similar(percent)).select("a", "b")
 
     # Long lists: every entry against the leader, kept if close enough to be anchored.
     long = live.filter(F.col("len") > SHORT_LIST)
-    led = long.filter(F.col("node") != F.col("lead.node")).filter(
+    leads = long.groupBy("token").agg(F.min(F.struct("pos", "n", "nid")).alias("lead"))
+    led = long.join(leads, "token").filter(F.col("nid") != F.col("lead.nid")).filter(
         100 * F.least("n", "lead.n") >= ANCHOR_PERCENT * F.greatest("n", "lead.n"))
-    led = _unpromising_dropped(led.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(),
+    led = _unpromising_dropped(led.select(F.col("nid").alias("a"), F.col("lead.nid").alias("b")).distinct(),
                                nodes, ANCHOR_PERCENT)
-    answers = materialise(_compared(led, docs, k, differences=True)
+    answers = materialise(_compared(led, docs, nodes, k, differences=True)
                           .filter(_similar(ANCHOR_PERCENT)), "jaccard-answers")
     popular = answers.groupBy("b").agg(F.count(F.lit(1)).alias("members"))
     best = answers.join(popular, "b").groupBy("a").agg(F.max(F.struct("members", "b")).alias("best"))
     anchored = materialise(answers.join(best, "a").filter(F.col("b") == F.col("best.b")).select(
-        F.col("a").alias("node"), F.col("b").alias("anchor"), F.col("na").alias("n"), "diff",
+        F.col("a").alias("nid"), F.col("b").alias("anchor"), F.col("na").alias("n"), "diff",
         _similar(percent).alias("linked")), "jaccard-anchored")
     led_links = answers.filter(_similar(percent)).select("a", "b")
     same = _same_anchor_links(anchored, percent)
@@ -261,7 +263,7 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     others = direct.unionByName(led_links).unionByName(same)
     if rest.isEmpty():
         return others
-    return others.unionByName(_compared(rest, docs, k, differences=False).filter(_similar(percent)).select("a", "b"))
+    return others.unionByName(_compared(rest, docs, nodes, k, differences=False).filter(_similar(percent)).select("a", "b"))
 
 
 def _same_anchor_links(anchored: DataFrame, percent: int) -> DataFrame:
@@ -279,16 +281,16 @@ def _same_anchor_links(anchored: DataFrame, percent: int) -> DataFrame:
     keys = F.concat(F.slice("diff", F.lit(1), F.greatest(take, F.lit(0)).cast("int")),
                     F.when((size <= 3) | (~F.col("linked") & (size <= most + 2)), F.array(F.lit(0).cast("long")))
                     .otherwise(F.array().cast("array<long>")))
-    rows = anchored.select("node", "anchor", "n", "linked", size.alias("d"), F.explode(keys).alias("key"))
+    rows = anchored.select("nid", "anchor", "n", "linked", size.alias("d"), F.explode(keys).alias("key"))
     loose = rows.filter(~F.col("linked")).alias("x")
     every = rows.alias("y")
     pairs = loose.join(every, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.key") == F.col("y.key"))
-                       & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))
+                       & (F.col("y.linked") | (F.col("x.nid") < F.col("y.nid")))
                        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
                        & (F.abs(F.col("x.d") - F.col("y.d")) * (100 + percent)
                           <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    side = anchored.select("node", "n", "diff")
+    pairs = pairs.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
+    side = anchored.select("nid", "n", "diff")
     wide = pairs.join(side.toDF("a", "na", "da"), "a").join(side.toDF("b", "nb", "db"), "b")
     apart = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
     return wide.filter(_similar(percent, overlap=(F.col("na") + F.col("nb") - apart) / 2)).select("a", "b")
@@ -300,10 +302,10 @@ def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFram
     A list is cut into blocks by size band and position; a block summary
     (sizes, least position) decides which block pairs are opened at all.
     """
-    owner = anchored.select("node", "anchor").unionByName(
-        anchored.select(F.col("anchor").alias("node"), "anchor")).groupBy("node").agg(F.max("anchor").alias("anchor"))
-    entry = long.join(owner, "node", "left").select(
-        "token", "node", "n", "pos", F.coalesce("anchor", "node").alias("owner"),
+    owner = anchored.select("nid", "anchor").unionByName(
+        anchored.select(F.col("anchor").alias("nid"), "anchor")).groupBy("nid").agg(F.max("anchor").alias("anchor"))
+    entry = long.join(owner, "nid", "left").select(
+        "token", "nid", "n", "pos", F.coalesce("anchor", "nid").alias("owner"),
         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).alias("band"),
         F.floor(F.col("pos") * 64 / F.col("n")).alias("cut"))
     # Entries of one owner need no pairs among themselves; lists of a single owner end here.
@@ -320,10 +322,10 @@ def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFram
                     & (room >= _needed(F.col("p.n0"), F.col("q.n0"), percent)))
     opened = opened.select(*[F.col(f"p.{c}").alias(f"x_{c}") for c in block],
                            *[F.col(f"q.{c}").alias(f"y_{c}") for c in block[1:]])
-    left = entry.select(*[F.col(c).alias(f"x_{c}") for c in block], F.col("node").alias("a"),
+    left = entry.select(*[F.col(c).alias(f"x_{c}") for c in block], F.col("nid").alias("a"),
                         F.col("n").alias("na"), F.col("pos").alias("pa"))
     right = entry.select(F.col("token").alias("x_token"), *[F.col(c).alias(f"y_{c}") for c in block[1:]],
-                         F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+                         F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     met = opened.join(left, [f"x_{c}" for c in block]).join(right, ["x_token"] + [f"y_{c}" for c in block[1:]])
     return met.filter(_can_meet(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b")
 
@@ -335,9 +337,9 @@ def similar_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     indexed = index_documents(docs, k, percent)
     nodes = materialise(indexed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("prefix").alias("prefix")), "jaccard-nodes")
-    roots = components(links(docs, nodes, k, percent))
-    labelled = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "jaccard-nodes")
+    roots = components(links(docs, nodes, k, percent)).withColumnRenamed("node", "nid")
+    labelled = nodes.select("node", "nid", "least").join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = labelled.join(least, "root").select("node", "component_id")
     return indexed.select("doc_id", "n", "node").join(by_node, "node", "left").select(

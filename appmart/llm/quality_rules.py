@@ -163,5 +163,14 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
-    return judge(docs).filter("kept").select("d.*")
+    """The rows of ``docs`` that pass, with all their columns.
+
+    The verdict depends on text, language and source alone, so only the keys
+    of good rows are stored, no texts.
+    """
+    key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    keyed = docs.select(F.struct("*").alias("d"), key.alias("k"), F.col("lang").alias("l"), F.col("source").alias("s"))
+    good = judge(docs.select("text", "lang", "source", key.alias("key")), ["key", "lang", "source"]).filter(
+        "kept").select("d.*").distinct()
+    return keyed.join(good, (F.col("k") == F.col("key")) & F.col("l").eqNullSafe(F.col("lang"))
+                      & F.col("s").eqNullSafe(F.col("source")), "left_semi").select("d.*")
