@@ -14,15 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appmart.session import size_checks
+from appmart.session import materialise, size_checks
 
 # Rows a side may have to be broadcast. A broadcast table is copied to every
 # executor, so the bound is on the copy, not on the data the job reads.
 DEFAULT_BROADCAST_ROWS = 500_000
 # Bytes its files may have, as rows of long texts can be few and large.
 DEFAULT_BROADCAST_BYTES = 64 << 20
-# Rows per bucket when NULL-key rows must pair with every eligible left row.
+# Rows per chunk of the NULL-key rows that pair with every eligible left row, and
+# the number of chunks of those left rows.
 ORPHAN_BUCKET_ROWS = 100_000
+ELIGIBLE_CHUNKS = 32
+# Parts a key of a spread join has.
+SPREAD = 16
 
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
@@ -102,11 +106,13 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
 
     * non-NULL right keys: an equi-join ``left_key = right_key``;
     * NULL right keys: each such row pairs with every left row where
-      ``left_key = fallback`` — that product *is* the defined result. It is
-      formed as an equi-join on a bucket number: the NULL-key rows are
-      spread over buckets, each eligible left row is sent to every bucket, so
-      each pair meets once and no task holds more than one bucket. One
-      bucket (broadcast) suffices when the NULL-key rows fit the bound.
+      ``left_key = fallback``: that product *is* the defined result, all pairs
+      by definition. It is formed in blocks of a left chunk and a chunk of
+      NULL-key rows, as an equi-join on the two chunk numbers, so each pair
+      meets once and a task holds a part of either side. The NULL-key rows
+      are numbered and stored once, so equal ones spread and a recomputed
+      task sees the same chunks; one chunk (broadcast) suffices when they
+      fit the bound.
 
     Returns ``(joined, had_null_keys)``; with NULL keys present, rows of the
     two branches may coincide, so callers that need set semantics dedupe.
@@ -122,16 +128,34 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
     if orphans.limit(1).count() == 0:
         return matched, False
 
-    small = fits(orphans, max_broadcast_rows)
-    if small:
-        buckets = 1
-    else:
-        buckets = -(-orphans.count() // ORPHAN_BUCKET_ROWS)
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
-    orphans = orphans.withColumn("_bucket", bucket)
-    eligible = (left.where(F.col(left_key) == fallback)
-                .withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
-    if small:
-        orphans = F.broadcast(orphans)
-    paired = eligible.join(orphans, "_bucket", "inner").drop("_bucket")
+    eligible = left.where(F.col(left_key) == fallback)
+    if fits(orphans, max_broadcast_rows):
+        paired = eligible.withColumn("_all", F.lit(0)).join(
+            F.broadcast(orphans.withColumn("_all", F.lit(0))), "_all", "inner").drop("_all")
+        return matched.unionByName(paired), True
+    numbered = materialise(orphans.withColumn("_row", F.monotonically_increasing_id()), "orphan-rows")
+    # Row numbers run on within a partition and jump between partitions; both spread over the chunks.
+    chunks = -(-numbered.count() // ORPHAN_BUCKET_ROWS)
+    right_rows = numbered.withColumn("_rc", F.pmod(F.xxhash64("_row"), F.lit(chunks))).drop("_row").withColumn(
+        "_lc", F.explode(F.sequence(F.lit(0), F.lit(ELIGIBLE_CHUNKS - 1))))
+    left_rows = eligible.withColumn(
+        "_lc", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(ELIGIBLE_CHUNKS)).cast("int")).withColumn(
+        "_rc", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    paired = left_rows.join(right_rows, ["_lc", "_rc"], "inner").drop("_lc", "_rc")
     return matched.unionByName(paired), True
+
+
+def join_spread(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, spread: int = SPREAD) -> DataFrame:
+    """Inner equi-join in which the output of a hot key spreads over ``spread`` parts.
+
+    The right side is broadcast if its size check passes. Else every right row
+    goes to each part and a left row to the part its ``by`` columns choose, so
+    a key with many rows on both sides is not multiplied out by one task.
+    AQE's own split looks at input bytes and does not see that fan-out.
+    """
+    if fits(right, max_broadcast_rows):
+        return left.join(F.broadcast(right), list(keys), "inner")
+    parts = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(spread)).cast("int")
+    return left.withColumn("_part", part).join(parts, [*keys, "_part"], "inner").drop("_part")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appmart.operators import (broadcast_if_small, conform, group_avg, join_coalesce_fallback,
-                               join_on, lookup_left, stamp)
+from appmart.operators import conform, group_avg, join_on, join_spread, lookup_left, stamp
 from appmart.schemas import MART_SCHEMAS
-from appmart.session import materialise, side_by_side
+from appmart.session import materialise
 
 MERGED = "merged_app_users"
 COUNTRY_AVERAGES = "avg_session_by_country"
@@ -44,39 +43,23 @@ def build_merged_app_users(installs: DataFrame, trials: DataFrame, ratings: Data
       star ratings, engagement rows — so it is already duplicate-free and the
       twelve-column DISTINCT over the largest intermediate (a full shuffle of
       the output) is not needed.
-    * The coalesce join is split into an equi-join on non-NULL engagement
-      keys plus the NULL-key branch (see ``join_coalesce_fallback``); only if
-      NULL keys exist can the branches overlap, and only then is a final
-      distinct added.
+    * Keys of the conformed facts are MD5 values and never NULL, so the
+      COALESCE of the join condition is the engagement key itself and the
+      join is a plain equi-join.
     * installs ⋈ trials is a shuffle join on (hash_key, user_id), so a hot
       app-day key still spreads over its users; a hot (key, user) partition
       is split at runtime by AQE's skew-join handling.
-    * The ratings side holds at most five rows per key and the engagement
-      side one row per (key, country, metrics): both are broadcast when their
-      row-bound check passes, so the growing product is never shuffled
-      again and a hot key's rows stay spread over the first join's tasks.
-      Over the bound they are shuffle joins (AQE splits skewed partitions).
-      Each of the two is computed once and stored in the shared folder, so
-      its size checks read a few stored rows instead of recomputing it.
+    * Stars and engagement rows are joined per key first and stored. That side
+      is broadcast when its size check passes, so the growing product is
+      never shuffled. Over the bound the pairs are shuffled once more, by key
+      and a part chosen by user and order, so that a hot key's output is made
+      by several tasks (see ``join_spread``).
     """
     users = installs.select("hash_key", "user_id", "hash_date_campaign_country").distinct()
     paired = join_on(users, trials_by_day(trials), ["hash_key", "user_id"])
-    sides = side_by_side(installs.sparkSession, {
-        "stars": lambda: materialise(ratings_by_day(ratings), "merged-ratings"),
-        "metrics": lambda: materialise(
-            engagement.select(F.col("hash_key").alias("e_hash_key"), *ENGAGEMENT_COLUMNS).distinct(),
-            "merged-engagement"),
-    })
-    rated = join_on(paired, broadcast_if_small(sides["stars"]), ["hash_key"])
-    metrics = sides["metrics"]
-    # In the joined rows the install key and the trial key are equal (join
-    # condition), so COALESCE(install key, trial key) is the shared hash_key.
-    merged, had_null_keys = join_coalesce_fallback(
-        rated, metrics, left_key="hash_key", right_key="e_hash_key",
-        fallback=F.col("hash_key"))
-    merged = merged.drop("e_hash_key")
-    if had_null_keys:
-        merged = merged.distinct()
+    metrics = engagement.select("hash_key", *ENGAGEMENT_COLUMNS).distinct()
+    per_key = materialise(join_on(ratings_by_day(ratings), metrics, ["hash_key"]), "merged-per-key")
+    merged = join_spread(paired, per_key, ["hash_key"], ["user_id", "order_id"])
     return conform(stamp(merged, etl_ts), MART_SCHEMAS[MERGED])
 
 

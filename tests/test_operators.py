@@ -147,6 +147,40 @@ def test_join_coalesce_fallback_equals_naive_form(spark, monkeypatch, bucket_row
     assert sorted(map(key, got.collect())) == sorted(map(key, _naive_fallback(spark, left, right)))
 
 
+def test_join_coalesce_fallback_spreads_equal_null_key_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ORPHAN_BUCKET_ROWS", 50)
+    left = spark.createDataFrame([("k", "k", i) for i in range(40)], "lk string, fb string, lid int")
+    right = spark.createDataFrame([(None, 7)] * 400, "rk string, rid int")
+    got, _ = ops.join_coalesce_fallback(left, right, "lk", "rk", F.col("fb"), max_broadcast_rows=0)
+    counts = got.groupBy("lid").count().collect()
+    assert len(counts) == 40 and {r["count"] for r in counts} == {400}
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_join_spread_equals_plain_join(spark, broadcast_rows):
+    left = spark.createDataFrame([("hot", u) for u in range(60)] + [("k1", 1), (None, 2)], "k string, u int")
+    right = spark.createDataFrame([("hot", r) for r in range(5)] + [("k1", 9), ("k1", 9), (None, 3)], "k string, r int")
+    got = ops.join_spread(left, right, ["k"], ["u"], max_broadcast_rows=broadcast_rows)
+    want = left.join(right, "k")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_join_spread_divides_a_hot_key(spark):
+    left = spark.createDataFrame([("hot", u) for u in range(800)], "k string, u int")
+    right = spark.createDataFrame([("hot", r) for r in range(5)], "k string, r int")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = ops.join_spread(left, right, ["k"], ["u"], max_broadcast_rows=0)
+        shares = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(shares) == 4000 and max(shares) <= 1600
+
+
 def test_join_coalesce_fallback_without_null_keys_is_equi_join(spark):
     left = spark.createDataFrame([("k1", "k1", 1)], "lk string, fb string, lid int")
     right = spark.createDataFrame([("k1", 10)], "rk string, rid int")
