@@ -96,7 +96,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", F.size("spans").cast("long").alias("n_passages"), "n_repeated_words",
                         F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
-                        .alias("passages"), "first_doc_id")
+                        .alias("passages"), "first_doc_id",
+                        F.array_join(F.transform("classes", lambda x: F.concat(x["start"].cast("string"), F.lit("-"),
+                            x["end"].cast("string"), F.lit(":"), x["class_id"].cast("string"))), ",").alias("classes"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

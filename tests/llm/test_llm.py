@@ -197,6 +197,29 @@ def test_repeated_passages_are_covered(spark):
     assert all(got[i]["n_repeated_words"] == 0 for i in (*range(10, 16), 20, 21))
 
 
+def _four_letters(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(n)]
+
+
+def test_all_copies_of_a_passage_are_one_class_with_its_least_doc(spark):
+    rng = random.Random(11)
+    first, second = _four_letters(rng, 60), _four_letters(rng, 60)
+    texts = {i: _four_letters(rng, 40) + first + _four_letters(rng, 40) for i in (5, 2, 9, 7)}
+    texts |= {i: _four_letters(rng, 30) + second + _four_letters(rng, 30) for i in (4, 12, 3, 8, 6)}
+    texts[12] = first + _four_letters(rng, 70) + second
+    texts |= {20: second[:30], 21: _four_letters(rng, 90)}
+    copy = " ".join(_four_letters(rng, 70))
+    rows = [(i, " ".join(w)) for i, w in texts.items()] + [(31, copy), (30, copy)]
+    got = {r["doc_id"]: r for r in substring_dedup.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    holders = [[i for i, w in texts.items() if " ".join(p) in " ".join(w)] for p in (first, second)] + [[30, 31]]
+    want = {i: sorted(min(h) for h in holders if i in h) for i in got}
+    assert {i: sorted(c["first_doc_id"] for c in r["classes"]) for i, r in got.items()} == want
+    assert {i: r["first_doc_id"] for i, r in got.items()} == {i: min(w, default=None) for i, w in want.items()}
+    ids = {(c["first_doc_id"], c["class_id"]) for r in got.values() for c in r["classes"]}
+    assert len(ids) == 3 == len({c for _, c in ids})
+
+
 def test_rates_reach_the_targets(spark):
     rng = np.random.default_rng(0)
     p = rng.dirichlet([0.3, 0.3, 0.3], 500)
