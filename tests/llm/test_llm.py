@@ -220,6 +220,59 @@ def test_all_copies_of_a_passage_are_one_class_with_its_least_doc(spark):
     assert len(ids) == 3 == len({c for _, c in ids})
 
 
+def _similar_by_brute_force(x, cx, y, cy):
+    """Longest total of two runs around the anchors whose longest common subsequence makes them similar."""
+    def table(p, q):
+        best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
+        for i in range(len(p)):
+            for j in range(len(q)):
+                best[i + 1][j + 1] = best[i][j] + 1 if p[i] == q[j] else max(best[i][j + 1], best[i + 1][j])
+        return [(i, j, best[i][j]) for i in range(len(p) + 1) for j in range(len(q) + 1)]
+    score = [{}, {}]
+    for side, cells in zip(score, (table(x[:cx][::-1], y[:cy][::-1]), table(x[cx + 1:], y[cy + 1:]))):
+        for i, j, m in cells:
+            side[i + j] = max(side.get(i + j, -999), 9 * m - 4 * (i + j))
+    return max((s + t for s, p in score[0].items() for t, q in score[1].items() if p + q + 1 >= 0), default=-1) + 2
+
+
+def test_alignment_equals_brute_force():
+    rng = random.Random(8)
+    pairs = []
+    for n in range(60):
+        x = [rng.randrange(10**6) for _ in range(91)]
+        y = list(x)
+        for _ in range(n % 5):
+            at, k = rng.choice([*range(0, 40), *range(52, 80)]), rng.randint(0, 4)
+            y[at:at + rng.randint(0, 6)] = [rng.randrange(10**6) for _ in range(k)]
+        cy = y.index(x[45]) if x[45] in y else None
+        if cy is not None:
+            a = max(0, cy - 45)
+            pairs.append((np.array(x, np.uint32), 45, np.array(y[a:cy + 46], np.uint32), cy - a))
+    got = substring_dedup.matched(pairs)
+    for (x, cx, y, cy), g in zip(pairs, got.tolist()):
+        want = _similar_by_brute_force(x.tolist(), cx, y.tolist(), cy)
+        assert (sum(g) + 2 if g[0] >= 0 else 0) == (want if want >= 2 * substring_dedup.MIN_RUN else 0)
+    assert 20 < sum(g[0] >= 0 for g in got.tolist()) < len(pairs)
+
+
+def test_passages_with_a_word_more_or_less_are_found(spark):
+    rng = random.Random(2)
+    docs, edited = {}, []
+    for k, (n, at) in enumerate([(60, 30), (80, 40), (60, 20), (80, 55)]):
+        p = _four_letters(rng, n)
+        for e, q in enumerate((p[:at] + ["more"] + p[at:], p[:at] + p[at + 1:])):
+            own = p if e else [w + "x" for w in p]
+            q = q if e else [w if w == "more" else w + "x" for w in q]
+            edited.append((10 * k + 2 * e, 10 * k + 2 * e + 1, n))
+            for i, w in zip(edited[-1], (own, q)):
+                docs[i] = " ".join(_four_letters(rng, 50) + w + _four_letters(rng, 50))
+    got = {r["doc_id"]: r for r in substring_dedup.repeated_passages(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    for a, b, n in edited:
+        assert got[a]["n_repeated_words"] >= 0.8 * n and got[b]["n_repeated_words"] >= 0.8 * n, (a, b)
+        assert got[a]["first_doc_id"] == got[b]["first_doc_id"] == a
+
+
 def test_rates_reach_the_targets(spark):
     rng = np.random.default_rng(0)
     p = rng.dirichlet([0.3, 0.3, 0.3], 500)
