@@ -273,6 +273,34 @@ def test_passages_with_a_word_more_or_less_are_found(spark):
         assert got[a]["first_doc_id"] == got[b]["first_doc_id"] == a
 
 
+def test_windows_that_the_representative_does_not_match_meet_each_other(spark):
+    rng = random.Random(6)
+    # All texts hold one line of 16 words; each of five near-equal pairs goes on differently, with a word replaced.
+    line, rows, pairs = _four_letters(rng, 16), [(i, None) for i in range(2)], []
+    for k in range(5):
+        around = _four_letters(rng, 22), _four_letters(rng, 22)
+        for i in (10 + 2 * k, 11 + 2 * k):
+            p = around[0] + line + around[1]
+            if i % 2:
+                p[6 if k % 2 else 53] = "edit"
+            rows.append((i, " ".join(_four_letters(rng, 30) + p + _four_letters(rng, 30))))
+        pairs.append((10 + 2 * k, 11 + 2 * k))
+    rows += [(40 + i, " ".join(_four_letters(rng, 40) + line + _four_letters(rng, 40))) for i in range(5)]
+    texts = spark.createDataFrame(rows[2:], "doc_id long, text string").select(F.xxhash64("text").alias("tid"), "text", "doc_id")
+    tid = {r["doc_id"]: r["tid"] for r in texts.collect()}
+    # The windows as if the line held the minimum of all: one key, the anchor in the line.
+    at = {r[0]: next(j for j in range(200) if r[1].split()[j:j + 5] == line[4:9]) for r in rows[2:]}
+    held = spark.createDataFrame([(1, tid[i], c, 45, 45) for i, c in at.items()],
+                                 "key long, tid long, c int, left int, right int")
+    none = spark.createDataFrame([], "a long, ca int, b long, cb int, a0 int, a1 int, b0 int, b1 int")
+    met = {frozenset((r["a"], r["b"])) for d in substring_dedup._regrouped(held, none, texts.select("tid", "text"))
+           for r in d.collect()}
+    assert met == {frozenset((tid[a], tid[b])) for a, b in pairs}
+    got = {r["doc_id"]: r["first_doc_id"] for r in substring_dedup.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[a] == got[b] == a for a, b in pairs) and all(got[40 + i] is None for i in range(5))
+
+
 def test_rates_reach_the_targets(spark):
     rng = np.random.default_rng(0)
     p = rng.dirichlet([0.3, 0.3, 0.3], 500)
