@@ -3,11 +3,11 @@
 Words are lower-cased runs of letters and digits, shingles five words. A
 document window as long as a benchmark item leaks it if their shingle
 multisets have a weighted Jaccard similarity (multiplicities as weights) of
-at least 0.8.
+at least 0.8. A document shorter than the item is one window, the whole text.
 
-Such a window must hold at least 0.8 of its shingles from items of its own
-size, so only windows that dense are fingerprinted (a lossless cut: nothing
-else can be similar). Fingerprints are 64-bit SimHashes in eight blocks;
+Such a window must hold at least 0.8 of the item's shingle count from items of
+that size, so only windows that dense are fingerprinted (a lossless cut:
+nothing else can be similar). Fingerprints are 64-bit SimHashes in eight blocks;
 items are indexed under every block value with up to two flipped bits, so by
 pigeonhole a lookup of the eight blocks finds *all* items within RADIUS bits.
 RADIUS is over three standard deviations above the distance expected at
@@ -106,7 +106,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = materialise(with_shingles(texts.join(_small(keys), "key", "left_semi"), "text", "dh")
                        .dropDuplicates(["key"]), "decon-texts")
     cut = windows.join(held, "key").select("key", "m", "start", F.expr("slice(dh, start + 1, m)").alias("wh"))
-    cut = materialise(cut.filter(F.size("wh") == F.col("m")), "decon-cut")
+    # A text shorter than the item is its own window; one that cannot hold 0.8 of the item had no dense window.
+    cut = materialise(cut.filter((F.size("wh") == F.col("m")) | (F.col("start") == 0)), "decon-cut")
 
     def fingerprints(rows: DataFrame, keys: list[str], hashes: str) -> DataFrame:
         return rows.select(*keys, F.explode(hashes).alias("h")).groupBy(*keys).agg(*_fingerprint("h"))
@@ -125,8 +126,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     both = near.join(cut, ["key", "m", "start"]).join(items, ["item_id", "m"])
     shared = F.expr("""aggregate(transform(array_distinct(ih), h -> least(
         size(filter(ih, x -> x = h)), size(filter(wh, x -> x = h)))), 0, (a, x) -> a + x)""")
-    scored = both.select("key", "item_id", "start", F.col("m").alias("n"),
-                         (shared / (2 * F.col("m") - shared)).alias("similarity"))
+    scored = both.select("key", "item_id", "start", F.size("wh").alias("n"),
+                         (shared / (F.size("wh") + F.col("m") - shared)).alias("similarity"))
     best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"), F.col("n")))
     return (scored.filter(F.col("similarity") >= SIMILARITY).groupBy("key", "item_id").agg(best.alias("x"))
             .select("key", "item_id", (-F.col("x.s")).alias("start"), F.col("x.n").alias("n"), "x.similarity"))

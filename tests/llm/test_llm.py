@@ -134,6 +134,32 @@ def test_decontamination_equals_sql(spark):
     _against_sql(spark, "op8_decontaminate", ["documents", "benchmark"])
 
 
+def _leaks_by_brute_force(text, item):
+    """Whether a window of the item's shingle count, or the whole of a shorter text, is similar to the item."""
+    x, y = ([tuple(w[j:j + 5]) for j in range(len(w) - 4)] for w in (text.split(), item.split()))
+    windows = [x[j:j + len(y)] for j in range(max(1, len(x) - len(y) + 1))]
+    shared = [(len(w), sum((Counter(w) & Counter(y)).values())) for w in windows]
+    return bool(y) and any(10 * s >= 8 * (n + len(y) - s) for n, s in shared)
+
+
+def test_documents_shorter_than_an_item_leak_it_too(spark):
+    rng = random.Random(4)
+    items = {n: _four_letters(rng, n) for n in (16, 30, 55)}
+    docs = {}
+    for n, w in items.items():
+        for k in (0, 1, 2, 4, 8, 12):
+            docs[100 * n + k] = w[:n - k]
+            docs[100 * n + 20 + k] = w[k // 2:n - k // 2] + _four_letters(rng, k // 2)
+            docs[100 * n + 40 + k] = _four_letters(rng, 9) + w[k:] + _four_letters(rng, 9)
+    docs = {i: " ".join(w) for i, w in docs.items()}
+    items = {i: " ".join(w) for i, w in items.items()}
+    got = {r["d"]["doc_id"]: r["items"] for r in decontaminate.judge(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string"), ["doc_id"]).collect()}
+    assert got == {i: [k for k, v in items.items() if _leaks_by_brute_force(t, v)] for i, t in docs.items()}
+    assert got[5504] == [55] and got[3001] == [30]
+
+
 def test_extraction_on_held_out_layouts():
     model = html_extract.train(200)
     same = 0
