@@ -10,8 +10,8 @@ that size, so only windows that dense are fingerprinted (a lossless cut:
 nothing else can be similar). Fingerprints are 64-bit SimHashes in eight blocks;
 items are indexed under every block value with up to two flipped bits, so by
 pigeonhole a lookup of the eight blocks finds *all* items within RADIUS bits.
-RADIUS is over three standard deviations above the distance expected at
-similarity 0.8. The survivors are verified exactly.
+RADIUS is the most that the blocks cover, over four standard deviations above
+the distance expected at similarity 0.8. The survivors are verified exactly.
 
 Built-in expressions only. The item shingles are broadcast only below a
 checked count; beyond it the same join shuffles.
@@ -30,7 +30,7 @@ from .store import materialise
 SHINGLE = 5
 SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 8, 8, 2
-RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1 - 4  # 19; any radius up to 23 is covered by the blocks
+RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1  # 23, all that the blocks cover
 #: Most rows (of two longs) that a broadcast side may have.
 BROADCAST_ROWS = 1_000_000
 

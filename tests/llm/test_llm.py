@@ -160,6 +160,11 @@ def test_documents_shorter_than_an_item_leak_it_too(spark):
     assert got[5504] == [55] and got[3001] == [30]
 
 
+def test_radius_is_all_that_the_blocks_cover():
+    flips, blocks = max(bin(m).count("1") for m in decontaminate._flips()), decontaminate.BLOCKS
+    assert decontaminate.RADIUS == blocks * (flips + 1) - 1 == 23
+
+
 def test_extraction_on_held_out_layouts():
     model = html_extract.train(200)
     same = 0
