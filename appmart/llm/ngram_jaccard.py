@@ -13,7 +13,9 @@ in a prefix list. Two relations among sets keep the lists from being paired out:
   and keeps only its difference. For two sets with the same anchor the
   overlap follows from the leader's answer and the two differences, so such
   pairs leave the lists and are found by a prefix join on the differences;
-  pairs both linked to the anchor need no answer of their own.
+  pairs both linked to the anchor need no answer of their own for components.
+  Numbers of links need them: pairs whose differences are too small to matter
+  are counted by size of set and difference, the others compared.
 
 Everything else about a pair is exact: count sketches give a lower bound of
 the difference and drop hopeless candidates without loss, the rest is
@@ -219,10 +221,10 @@ def _similar(percent: int, na: str = "na", nb: str = "nb", overlap: Column | Non
     return 100 * overlap >= percent * (F.col(na) + F.col(nb) - overlap)
 
 
-def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b) pairs of node numbers that connect just what all similar pairs of nodes connect.
+def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Similar (a, b) pairs of node numbers, and the anchored nodes (see _same_anchor_links).
 
-    Every similar pair is either in the result or joined by links to a common anchor.
+    Every similar pair is either in the first or has one anchor.
     """
     entries = nodes.select("nid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     # Most tokens have a single entry: only their counts move, then the entries of the others are kept.
@@ -254,16 +256,16 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
         F.col("a").alias("nid"), F.col("b").alias("anchor"), F.col("na").alias("n"), "diff",
         _similar(percent).alias("linked")), "jaccard-anchored")
     led_links = answers.filter(_similar(percent)).select("a", "b")
-    same = _same_anchor_links(anchored, percent)
 
     # Long lists, pairs without a common anchor: block by block.
     rest = _ordered_pairs(_block_pairs(long, anchored, percent))
     rest = _unpromising_dropped(rest.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
                                           ["a", "b"], "left_anti"), nodes, percent)
-    others = direct.unionByName(led_links).unionByName(same)
-    if rest.isEmpty():
-        return others
-    return others.unionByName(_compared(rest, docs, nodes, k, differences=False).filter(_similar(percent)).select("a", "b"))
+    others = direct.unionByName(led_links)
+    if not rest.isEmpty():
+        others = others.unionByName(
+            _compared(rest, docs, nodes, k, differences=False).filter(_similar(percent)).select("a", "b"))
+    return others, anchored
 
 
 def _same_anchor_links(anchored: DataFrame, percent: int) -> DataFrame:
@@ -296,6 +298,57 @@ def _same_anchor_links(anchored: DataFrame, percent: int) -> DataFrame:
     return wide.filter(_similar(percent, overlap=(F.col("na") + F.col("nb") - apart) / 2)).select("a", "b")
 
 
+def _sure(percent: int, x: str, y: str) -> Column:
+    """Whether two sets with one anchor are similar even if their differences to it (of sizes d) share nothing."""
+    n = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return _similar(percent, f"{x}.n", f"{y}.n", (n - F.col(f"{x}.d") - F.col(f"{y}.d")) / 2)
+
+
+def link_counts(pairs: DataFrame, anchored: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(nid, others): for each node with links, the rows of all other nodes similar to it.
+
+    ``pairs`` and ``anchored`` are those of links(); ``nodes`` has nid and copies. Pairs with one anchor are answered
+    from their differences: sure ones by counts per size of set and difference, the rest by a join on shared entries.
+    """
+    copies = nodes.select("nid", "copies")
+    own = anchored.select("nid", "anchor")
+    apart = (_ordered_pairs(pairs).join(own.toDF("a", "anchor_a"), "a", "left").join(own.toDF("b", "anchor_b"), "b", "left")
+             .filter("anchor_a is null or anchor_b is null or anchor_a != anchor_b").select("a", "b"))
+    sized = materialise(anchored.join(copies, "nid").select(
+        "nid", "anchor", "n", F.size("diff").cast("long").alias("d"), "copies", "diff"), "jaccard-sized")
+    kinds = materialise(sized.groupBy("anchor", "n", "d").agg(F.sum("copies").alias("rows")), "jaccard-kinds")
+    x, y = kinds.alias("x"), kinds.alias("y")
+    near = x.join(y, F.col("x.anchor") == F.col("y.anchor")).filter(_sure(percent, "x", "y")).groupBy(
+        F.col("x.anchor").alias("anchor"), F.col("x.n").alias("n"), F.col("x.d").alias("d")).agg(
+        F.sum("y.rows").alias("rows"))
+    # A set may be sure of itself: it is in its own kind.
+    itself = _similar(percent, "n", "n", F.col("n") - F.col("d"))
+    sure = sized.join(near, ["anchor", "n", "d"]).select(
+        "nid", (F.col("rows") - F.when(itself, F.col("copies")).otherwise(0)).alias("others"))
+
+    # Pairs that are not sure must share an entry among the first of their differences.
+    most = F.floor(F.col("n") * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
+    take = F.col("d") - F.greatest(F.col("d") - most, F.lit(1)) + 1
+    rows = sized.select("nid", "anchor", "n", "d", F.explode(
+        F.slice("diff", F.lit(1), F.greatest(take, F.lit(0)).cast("int"))).alias("key"))
+    x, y = rows.alias("x"), rows.alias("y")
+    open_ = x.join(y, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.key") == F.col("y.key"))
+                   & (F.col("x.nid") < F.col("y.nid"))
+                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                   & (F.abs(F.col("x.d") - F.col("y.d")) * (100 + percent)
+                      <= (F.col("x.n") + F.col("y.n")) * (100 - percent))).filter(~_sure(percent, "x", "y"))
+    open_ = open_.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
+    side = sized.select("nid", "n", "diff")
+    wide = open_.join(side.toDF("a", "na", "da"), "a").join(side.toDF("b", "nb", "db"), "b")
+    gap = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    same = wide.filter(_similar(percent, overlap=(F.col("na") + F.col("nb") - gap) / 2)).select("a", "b")
+
+    both = materialise(apart.unionByName(same), "jaccard-links")
+    ends = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    met = ends.join(copies.toDF("b", "copies"), "b").select(F.col("a").alias("nid"), F.col("copies").alias("others"))
+    return met.unionByName(sure).groupBy("nid").agg(F.sum("others").alias("others"))
+
+
 def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFrame:
     """Pairs within long lists that have no common anchor and can still qualify.
 
@@ -330,18 +383,30 @@ def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFram
     return met.filter(_can_meet(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b")
 
 
-def similar_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n (set size), node (null for an empty set) and
-    component_id (least doc_id reachable over pairs similar by ``percent``)."""
+def similar_components(docs: DataFrame, k: int, percent: int, count_links: bool = False) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n (set size), node (null for an empty set),
+    component_id (least doc_id reachable over pairs similar by ``percent``) and, if asked for, n_links (the number of
+    other rows similar to it, rows of the same set included; 0 for an empty set)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     indexed = index_documents(docs, k, percent)
     nodes = materialise(indexed.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("prefix").alias("prefix")).withColumn("nid", F.monotonically_increasing_id()), "jaccard-nodes")
-    roots = components(links(docs, nodes, k, percent)).withColumnRenamed("node", "nid")
-    labelled = nodes.select("node", "nid", "least").join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+        F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+        .withColumn("nid", F.monotonically_increasing_id()), "jaccard-nodes")
+    pairs, anchored = links(docs, nodes, k, percent)
+    if count_links:
+        pairs = materialise(pairs, "jaccard-similar")
+    roots = components(pairs.unionByName(_same_anchor_links(anchored, percent))).withColumnRenamed("node", "nid")
+    labelled = nodes.select("node", "nid", "least", "copies").join(roots, "nid", "left").withColumn(
+        "root", F.coalesce("root", "nid"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = labelled.join(least, "root").select("node", "component_id")
+    by_node = labelled.join(least, "root")
+    counted = []
+    if count_links:
+        by_node = by_node.join(link_counts(pairs, anchored, nodes, percent), "nid", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+        counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
+    by_node = by_node.select("node", "component_id", *(["n_links"] if count_links else []))
     return indexed.select("doc_id", "n", "node").join(by_node, "node", "left").select(
         "doc_id", "n", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        .alias("component_id"))
+        .alias("component_id"), *counted)

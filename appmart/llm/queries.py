@@ -25,9 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of all documents under 3-word Jaccard of at least 0.9."""
-    found = ngram_jaccard.similar_components(_table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILAR_PERCENT)
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    """Components and numbers of links of all documents under 3-word Jaccard of at least 0.9."""
+    found = ngram_jaccard.similar_components(_table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILAR_PERCENT,
+                                             count_links=True)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,18 @@ def test_jaccard_components_equal_brute_force(spark, odd_docs, monkeypatch, shor
     assert Counter((r["doc_id"], r["n"], r["component_id"]) for r in got) == _components(rows, 3, 90)
 
 
+@pytest.mark.parametrize("short", [16, 1])
+def test_jaccard_links_equal_brute_force(spark, odd_docs, monkeypatch, short):
+    monkeypatch.setattr(ngram_jaccard, "SHORT_LIST", short)
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    sets = [frozenset(tuple(w[j:j + 3]) for j in range(max(1, len(w) - 2))) if (w := _words(t)) else None for _, t in rows]
+    want = Counter()
+    for at, (x, (i, _)) in enumerate(zip(sets, rows)):
+        want[i, sum(10 * len(x & y) >= 9 * len(x | y) for k, y in enumerate(sets) if k != at and y) if x else 0] += 1
+    got = ngram_jaccard.similar_components(odd_docs, 3, 90, count_links=True).collect()
+    assert Counter((r["doc_id"], r["n_links"]) for r in got) == want and max(n for _, n in want) > 20
+
+
 def test_sharding_law_and_determinism(spark, odd_docs):
     got = sharding.shard_rows(odd_docs, 7).collect()
     sizes = Counter(r["shard"] for r in got)
