@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .decontaminate import text_key
 from .store import materialise
 from .bitmap import id_bitmap, in_bitmap
 from .graph import components
@@ -121,7 +122,7 @@ def _in_order(members: np.ndarray, common: np.ndarray, weight: np.ndarray, count
 
 
 def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document: doc_id, n, node, sketch and prefix (the set's first entries in the global order); stored."""
+    """Per document: doc_id, text_key, n, node, sketch and prefix (the set's first entries in the global order); stored."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +139,10 @@ def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(lengths), pa.concat_arrays(prefix)) if prefix else \
                 pa.array([], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(sketch, pa.binary()), lists], ["doc_id", "n", "node", "sketch", "prefix"])
-    return materialise(docs.select("doc_id", "text").mapInArrow(
-        index, "doc_id long, n long, node binary, sketch binary, prefix array<long>"), "jaccard-docs")
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()),
+                 pa.array(sketch, pa.binary()), lists], ["doc_id", "text_key", "n", "node", "sketch", "prefix"])
+    return materialise(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(
+        index, "doc_id long, text_key binary, n long, node binary, sketch binary, prefix array<long>"), "jaccard-docs")
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -384,8 +385,8 @@ def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFram
 
 
 def similar_components(docs: DataFrame, k: int, percent: int, count_links: bool = False) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n (set size), node (null for an empty set),
-    component_id (least doc_id reachable over pairs similar by ``percent``) and, if asked for, n_links (the number of
+    """Per row of ``docs`` (doc_id, text): doc_id, text_key (see decontaminate), n (set size), node and root (a
+    component's own number; both null for an empty set), component_id (least doc_id reachable over pairs similar by ``percent``) and, if asked for, n_links (the number of
     other rows similar to it, rows of the same set included; 0 for an empty set)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     indexed = index_documents(docs, k, percent)
@@ -406,7 +407,7 @@ def similar_components(docs: DataFrame, k: int, percent: int, count_links: bool
         by_node = by_node.join(link_counts(pairs, anchored, nodes, percent), "nid", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
         counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
-    by_node = by_node.select("node", "component_id", *(["n_links"] if count_links else []))
-    return indexed.select("doc_id", "n", "node").join(by_node, "node", "left").select(
-        "doc_id", "n", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    by_node = by_node.select("node", "root", "component_id", *(["n_links"] if count_links else []))
+    return indexed.select("doc_id", "text_key", "n", "node").join(by_node, "node", "left").select(
+        "doc_id", "text_key", "n", "node", "root", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"), *counted)

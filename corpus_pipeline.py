@@ -24,20 +24,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: the one with the least id.
+    """One row of each group of similar ones stays: the one with the least id, of several such the least text key.
 
-    Rows without words or without id are in no group and stay.
+    Rows without words or without id are in no group and stay. A row is its id and its text, as ids may repeat.
     """
-    found = ngram_jaccard.similar_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    gone = found.filter((F.col("n") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # A repeated row of the least id itself: equal in id, so compare whole rows' texts once more.
-    again = materialise(found.filter("n > 0").groupBy("doc_id", "component_id").agg(
-        F.count(F.lit(1)).alias("k")).filter("k > 1 and doc_id = component_id").select("doc_id"), "pipeline-repeats")
+    row = ["doc_id", "text_key"]
+    found = materialise(ngram_jaccard.similar_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT).filter(
+        "n > 0 and doc_id is not null").groupBy(*row, "root").agg(F.count(F.lit(1)).alias("k")), "pipeline-groups")
+    first = found.groupBy("root").agg(F.min(F.struct(*row)).alias("first"))
+    gone = found.join(first, "root").filter(F.struct(*row) != F.col("first")).select(*row)
+    keyed = docs.withColumn("text_key", decontaminate.text_key(F.col("text")))
+    kept = keyed.join(gone, row, "left_anti")
+    # Repeats of a row that stays.
+    again = materialise(found.filter("k > 1").join(first, "root").filter(
+        F.struct(*row) == F.col("first")).select(*row), "pipeline-repeats")
     if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+        return kept.select(*docs.columns)
+    once = kept.join(again, row, "left_semi").dropDuplicates(row)
+    return kept.join(again, row, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -95,6 +96,19 @@ def test_jaccard_links_equal_brute_force(spark, odd_docs, monkeypatch, short):
     assert Counter((r["doc_id"], r["n_links"]) for r in got) == want and max(n for _, n in want) > 20
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    rng = random.Random(9)
+    a, c, d = (_four_letters(rng, 60) for _ in range(3))
+    near = lambda w: " ".join(w[:-1] + ["edit"])
+    rows = [(1, " ".join(a)), (5, near(a)), (5, " ".join(c)), (9, near(d)), (5, " ".join(d)), (5, " ".join(d)),
+            (7, ""), (7, None), (None, " ".join(a))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOC)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(
+        [rows[0], rows[2], rows[4], rows[6], rows[7], rows[8]])
+
+
 def test_sharding_law_and_determinism(spark, odd_docs):
     got = sharding.shard_rows(odd_docs, 7).collect()
     sizes = Counter(r["shard"] for r in got)
