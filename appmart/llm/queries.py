@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmart.session import run_dir
 
-from . import (decontaminate, html_extract, lm_score, mixing, ngram_jaccard, quality_rules, sharding, substring_dedup,
-               url_filter, warc)
+from . import (decontaminate, html_extract, lm_score, mixing, nearest_neighbours, ngram_jaccard, periodic_runs,
+               quality_rules, sharding, substring_dedup, url_filter, warc, whitening)
+from .store import materialise
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 3, 90
 SHARDS = 24
@@ -102,10 +104,43 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                             x["end"].cast("string"), F.lit(":"), x["class_id"].cast("string"))), ",").alias("classes"))
 
 
+def planted_period(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words of a tenth of the documents, from some word on repeated with a period; both follow from the id."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least four periods and six words in every document, a tenth of them with a planted period."""
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), ["doc_id"], key="doc_id",
+                                        edit=planted_period)
+    return materialise(periodic_runs.digests(found).select("d.doc_id", *[
+        "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]), "runs")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 32 whitened components of every embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), "embedding", ["vec_id"]).select(
+        "d.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings of each one whose id is divisible by 100."""
+    return nearest_neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_ngram_jaccard": op1_ngram_jaccard, "op2_sharding": op2_sharding, "op3_url_filter": op3_url_filter, "op4_quality_rules": op4_quality_rules,
             "op5_html_extract": op5_html_extract, "op6_lm_score": op6_lm_score, "op7_warc_audit": op7_warc_audit, "op8_decontaminate": op8_decontaminate, "op9_mixing": op9_mixing,
-            "op10_substring_dedup": op10_substring_dedup}
+            "op10_substring_dedup": op10_substring_dedup, "op11_periodic_runs": op11_periodic_runs,
+            "op12_embedding_whitening": op12_embedding_whitening, "op13_nearest_neighbours": op13_nearest_neighbours}
 
 
 _Q = quality_rules
