@@ -8,12 +8,15 @@ map task before anything moves; no group is ever gathered into one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from appmart.operators.joins import broadcast_if_small
+from appmart.session import materialise
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """SELECT DISTINCT over all columns (D1). NULLs compare equal here."""
@@ -67,15 +70,47 @@ def distinct_row_count(df: DataFrame) -> DataFrame:
     return df.distinct().agg(F.count(F.lit(1)).alias("distinct_row_count"))
 
 
-def row_stats(df: DataFrame) -> DataFrame:
-    """Row count and exact distinct-row count in one pass.
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit digests of a row. NULL flags are part of them, as hashes pass over NULLs."""
+    parts = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
+
+
+DIGESTS = ("_digest1", "_digest2")
+
+
+def _digests(columns: Sequence[str]) -> list[Column]:
+    return [d.alias(name) for d, name in zip(row_digest(columns), DIGESTS)]
+
+
+def digest_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How many rows (``_n``) have each digest of ``columns``."""
+    return df.select(*_digests(columns)).groupBy(*DIGESTS).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def row_stats(df: DataFrame, constant: Collection[str] = ()) -> DataFrame:
+    """Row count and exact distinct-row count.
 
-    ``groupBy(all columns)`` yields one row per distinct row with its
-    multiplicity; summing the multiplicities gives the row count. An empty
-    input gives (0, 0).
+    What is shuffled are 16-byte digests with their counts (partial sums per task), not rows.
+    Equal rows have equal digests, so a digest counted once is one distinct row. Only rows whose
+    digest repeats are compared in full: they are picked by their digests (stored; a table
+    without equal rows has none, and no second pass) and counted by DISTINCT. Exact therefore,
+    whatever digests clash. ``constant`` names columns that hold one value in all rows, such as
+    the run timestamp; they take no part. An empty input gives (0, 0). The first pass runs at
+    the call.
     """
-    per_row = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    return per_row.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("row_count"),
-        F.count(F.lit(1)).cast("long").alias("distinct_row_count"),
-    )
+    names = [c for c in df.columns if c not in set(constant)]
+    seen = Observation()
+    groups = digest_groups(df, names).observe(
+        seen, F.sum("_n").alias("rows"), F.count_if(F.col("_n") == 1).alias("once"))
+    repeated = materialise(groups.where("_n > 1").select(*DIGESTS), "repeated-digests")
+    rows, once = seen.get["rows"] or 0, seen.get["once"] or 0
+    if repeated.isEmpty():
+        # A row of constants only has one digest.
+        return df.sparkSession.range(1).select(F.lit(rows).cast("long").alias("row_count"),
+                                               F.lit(once).cast("long").alias("distinct_row_count"))
+    again = df.select(*_digests(names), *names).join(
+        broadcast_if_small(repeated), list(DIGESTS), "left_semi").select(*(names or DIGESTS)).distinct()
+    return again.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.lit(rows).cast("long").alias("row_count"),
+        (F.col("_n") + F.lit(once)).cast("long").alias("distinct_row_count"))

@@ -1,10 +1,9 @@
 """Join operators (C1–C7) and the size check that guards every broadcast.
 
-Broadcasting is only ever decided by :func:`fits`, which counts the rows (one
-number per task) and reads the stored size; a side over a bound takes a
-shuffle join instead, where AQE splits partitions made large by a hot key
-(``spark.sql.adaptive.skewJoin.enabled`` with ``forceOptimizeSkewedJoin``,
-set by :mod:`appmart.session`).
+Broadcasting is only ever decided by :func:`fits`, which counts the rows and adds up the
+bytes of just what would be sent; a side over a bound takes a shuffle join instead, where
+AQE splits partitions made large by a hot key (``spark.sql.adaptive.skewJoin.enabled`` with
+``forceOptimizeSkewedJoin``, set by :mod:`appmart.session`).
 """
 
 from __future__ import annotations
@@ -13,45 +12,66 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from appmart.session import materialise, size_checks
 
 # Rows a side may have to be broadcast. A broadcast table is copied to every
 # executor, so the bound is on the copy, not on the data the job reads.
 DEFAULT_BROADCAST_ROWS = 500_000
-# Bytes its files may have, as rows of long texts can be few and large.
+# Bytes its values may have, as rows of long texts can be few and large.
 DEFAULT_BROADCAST_BYTES = 64 << 20
-# Rows per chunk of the NULL-key rows that pair with every eligible left row, and
-# the number of chunks of those left rows.
+# Rows of either side in a block of the NULL-key branch: left rows that are
+# eligible, and NULL-key rows.
+ELIGIBLE_CHUNK_ROWS = 100_000
 ORPHAN_BUCKET_ROWS = 100_000
-ELIGIBLE_CHUNKS = 32
-# Parts a key of a spread join has.
-SPREAD = 16
-
-
-def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and its plan's size is at most ``max_bytes``.
-
-    The row count is a plain aggregate: each task sends one number (a stored
-    table answers from its file footers). The bytes are the planner's figure,
-    for a stored table the size of its files. For a stored (write-once) table
-    the answer is remembered, so checking one dimension for several facts
-    runs one job.
+# Keys that a spread join watches for heavy ones, and those it may salt.
+SKETCH_ITEMS, HEAVY_KEYS = 4096, 1024
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values: 8 for each number, date or flag, 16 and the octets for each text,
+    the octets of the JSON text for anything nested."""
+    size = F.lit(0).cast("long")
+    for field in schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 16
+        else:
+            size = size + 8
+    return size
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+         columns: Sequence[str] | None = None) -> bool:
+    """True when ``df`` (or just its ``columns``) has at most ``max_rows`` rows and ``max_bytes`` bytes of values.
+
+    Both are measured, never estimated: plain sums, one row of figures a task. The rows are
+    counted first (a stored table answers from its file footers), so the bytes of a table
+    with too many rows are not read. Past the bound either way, the answer is no. For a
+    table in write-once files the answer is remembered, so checking one dimension for
+    several facts runs once.
     """
     known = size_checks(df)
-    if known is not None and max_rows in known:
-        return known[max_rows]
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    stored = known is not None
-    result = (not stored or size <= max_bytes) and df.count() <= max_rows
+    question = (tuple(columns) if columns else None, max_rows, max_bytes)
+    if known is not None and question in known:
+        return known[question]
+    sent = df.select(*columns) if columns else df
+    result = max_rows > 0 and sent.count() <= max_rows
+    if result and any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
+                      for f in sent.schema.fields):
+        result = (sent.agg(F.sum(row_bytes(sent.schema)).alias("b")).first()["b"] or 0) <= max_bytes
     if known is not None:
-        known[max_rows] = result
+        known[question] = result
     return result
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its size is proven under ``max_rows``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its measured rows and bytes are within the bounds."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def semi_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "hash_key",
@@ -62,7 +82,7 @@ def semi_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "
     dimension, without the fan-out a duplicated dimension key would cause.
     """
     keys = dim.select(F.col(dim_key).alias(fact_key))
-    if fits(dim, max_broadcast_rows):      # same row count as ``keys``; remembered if stored
+    if fits(dim, max_broadcast_rows, columns=[dim_key]):      # what is sent are the keys alone
         keys = F.broadcast(keys)
     return fact.join(keys, on=fact_key, how="left_semi")
 
@@ -109,10 +129,11 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
       ``left_key = fallback``: that product *is* the defined result, all pairs
       by definition. It is formed in blocks of a left chunk and a chunk of
       NULL-key rows, as an equi-join on the two chunk numbers, so each pair
-      meets once and a task holds a part of either side. The NULL-key rows
-      are numbered and stored once, so equal ones spread and a recomputed
-      task sees the same chunks; one chunk (broadcast) suffices when they
-      fit the bound.
+      meets once and a task holds a part of either side. Both sides are
+      numbered and stored once: the number of chunks follows their counts, so
+      a chunk never grows with the data; equal rows spread; and a recomputed
+      task sees the same chunks. One chunk (broadcast) suffices when the
+      NULL-key rows fit the bound.
 
     Returns ``(joined, had_null_keys)``; with NULL keys present, rows of the
     two branches may coincide, so callers that need set semantics dedupe.
@@ -133,29 +154,69 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
         paired = eligible.withColumn("_all", F.lit(0)).join(
             F.broadcast(orphans.withColumn("_all", F.lit(0))), "_all", "inner").drop("_all")
         return matched.unionByName(paired), True
-    numbered = materialise(orphans.withColumn("_row", F.monotonically_increasing_id()), "orphan-rows")
-    # Row numbers run on within a partition and jump between partitions; both spread over the chunks.
-    chunks = -(-numbered.count() // ORPHAN_BUCKET_ROWS)
-    right_rows = numbered.withColumn("_rc", F.pmod(F.xxhash64("_row"), F.lit(chunks))).drop("_row").withColumn(
-        "_lc", F.explode(F.sequence(F.lit(0), F.lit(ELIGIBLE_CHUNKS - 1))))
-    left_rows = eligible.withColumn(
-        "_lc", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(ELIGIBLE_CHUNKS)).cast("int")).withColumn(
-        "_rc", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    right_rows, right_chunks = _in_chunks(orphans, "_rc", ORPHAN_BUCKET_ROWS, "orphan-rows")
+    left_rows, left_chunks = _in_chunks(eligible, "_lc", ELIGIBLE_CHUNK_ROWS, "eligible-rows")
+    right_rows = right_rows.withColumn("_lc", F.explode(F.sequence(F.lit(0), F.lit(left_chunks - 1))))
+    left_rows = left_rows.withColumn("_rc", F.explode(F.sequence(F.lit(0), F.lit(right_chunks - 1))))
     paired = left_rows.join(right_rows, ["_lc", "_rc"], "inner").drop("_lc", "_rc")
     return matched.unionByName(paired), True
 
 
-def join_spread(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, spread: int = SPREAD) -> DataFrame:
-    """Inner equi-join in which the output of a hot key spreads over ``spread`` parts.
+def _in_chunks(df: DataFrame, column: str, rows: int, label: str) -> tuple[DataFrame, int]:
+    """``df`` stored, with ``column`` dealing its rows to chunks of about ``rows``; and the number of chunks."""
+    numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), label)
+    chunks = max(1, -(-numbered.count() // rows))
+    # Row numbers run on within a partition and jump between partitions; their hash spreads both.
+    return numbered.withColumn(column, F.pmod(F.xxhash64("_row"), F.lit(chunks)).cast("int")).drop("_row"), chunks
+
 
-    The right side is broadcast if its size check passes. Else every right row
-    goes to each part and a left row to the part its ``by`` columns choose, so
-    a key with many rows on both sides is not multiplied out by one task.
-    AQE's own split looks at input bytes and does not see that fan-out.
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: int) -> DataFrame:
+    """(_key, _parts): hashes of the keys with more than ``share`` rows, and how many shares they have.
+
+    A mergeable heavy-hitter sketch per task, merged into one of SKETCH_ITEMS counters: its size
+    does not grow with the data. Counts are estimates; they choose parts, never rows. A key of
+    more than ``share`` rows is missed only if ``share`` is under about 1/SKETCH_ITEMS of all rows.
+    """
+    item = F.xxhash64(*[F.col(k) for k in keys])
+    top = df.select(item.alias("_key")).agg(
+        F.expr(f"approx_top_k(_key, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"))
+    return top.select(F.explode("top").alias("t")).where(F.col("t.count") > share).select(
+        F.col("t.item").alias("_key"), F.ceil(F.col("t.count") / share).cast("int").alias("_parts"))
+
+
+def join_spread(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, share: int | None = None) -> DataFrame:
+    """Inner equi-join in which the output of a hot key spreads over several tasks.
+
+    The right side is broadcast if its size check passes. Else a sketch of the left side's keys
+    (stored first, as it is read twice) names the heavy ones, those of more than ``share`` rows
+    (by default an even task's share). Only these are salted: a left row goes to the part its
+    ``by`` columns choose, a right row to all parts of its key, of which a key has as many as
+    shares. Every other row goes once. AQE's own split looks at input bytes and does not see
+    the fan-out of a key with many rows on both sides.
     """
     if fits(right, max_broadcast_rows):
         return left.join(F.broadcast(right), list(keys), "inner")
-    parts = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(spread)).cast("int")
-    return left.withColumn("_part", part).join(parts, [*keys, "_part"], "inner").drop("_part")
+    left = materialise(left, "spread-left")
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # No smaller than what the sketch tells apart from the rest for certain.
+    share = share or max(1, -(-left.count() // min(width, SKETCH_ITEMS // 2)))
+    # At most HEAVY_KEYS rows, so their copy on every executor is small whatever the data.
+    heavy = materialise(heavy_keys(left, keys, share), "heavy-keys")
+    if heavy.isEmpty():
+        return left.join(right, list(keys), "inner")
+    here, there = salted(left, right, keys, by, heavy)
+    return here.join(there, [*keys, "_part"], "inner").drop("_part")
+
+
+def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
+           heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_part``: 0, or for heavy keys the part of a left row and every part of a right row."""
+    item = F.xxhash64(*[F.col(k) for k in keys])
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+
+    def marked(side: DataFrame, part: Column) -> DataFrame:
+        return side.withColumn("_key", item).join(F.broadcast(heavy), "_key", "left").withColumn(
+            "_part", part).drop("_key", "_parts")
+    return (marked(left, F.pmod(F.xxhash64(*[F.col(c) for c in by]), parts).cast("int")),
+            marked(right, F.explode(F.sequence(F.lit(0), parts - 1))))

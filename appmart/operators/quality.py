@@ -25,10 +25,10 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str = "hash_ke
     """Fact rows whose foreign key has no row in the dimension.
 
     A NULL foreign key has no match, so it is reported as an orphan. The
-    dimension's keys are broadcast when their row bound allows (a key listed
+    dimension's keys are broadcast when their measured size allows (a key listed
     twice does not change an anti join, so no distinct is needed).
     """
     keys = dim.select(F.col(dim_key).alias("_dim_key"))
-    if fits(dim, DEFAULT_BROADCAST_ROWS):    # same row count as ``keys``; remembered if stored
+    if fits(dim, DEFAULT_BROADCAST_ROWS, columns=[dim_key]):    # what is sent are the keys alone
         keys = F.broadcast(keys)
     return fact.join(keys, fact[fk] == keys["_dim_key"], "left_anti")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 import re
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -112,6 +113,20 @@ def fit_split_size(spark: SparkSession, source_bytes: int) -> int:
     return current
 
 
+@contextlib.contextmanager
+def kept_settings(spark: SparkSession, *keys: str) -> Iterator[None]:
+    """Settings ``keys`` of the session come back as they were."""
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the mart needs to an existing session."""
     for key, value in {**REQUIRED_CONF, **PLANNING_CONF}.items():
@@ -161,23 +176,45 @@ def shared_dir(spark: SparkSession) -> str:
 
 # Stored tables live in write-once folders, so what a size check learns about
 # one never goes stale; the results are kept per stored DataFrame.
-_SIZE_CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_SIZE_CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict[tuple, bool]]" = weakref.WeakKeyDictionary()
 
 
-def size_checks(df: DataFrame) -> dict[int, bool] | None:
-    """Remembered ``bound -> fits`` results of a stored table; None if ``df`` is not one."""
+def size_checks(df: DataFrame) -> dict[tuple, bool] | None:
+    """Remembered ``(columns, bounds) -> fits`` results of a stored table; None if ``df`` is not one."""
     return _SIZE_CHECKS.get(df)
 
 
+def write_once(df: DataFrame) -> DataFrame:
+    """Say that ``df`` reads files that are never written again, so its size checks may be remembered."""
+    _SIZE_CHECKS[df] = {}
+    return df
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh run folder of the shared folder and
     read it back: cuts the lineage (a lost executor recomputes nothing
     upstream) and later readers get column pruning and filter pushdown."""
     path = run_dir(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    _SIZE_CHECKS[stored] = {}
-    return stored
+    return write_once(df.sparkSession.read.parquet(path))
+
+
+def materialise_bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
+    """Like ``materialise``, with the rows bucketed by ``column``: grouping or joining by it
+    (and more columns) needs no exchange.
+
+    One shuffle deals the rows out, one file a bucket. The table's name is only lent by the
+    session catalog and given back at once; the files stay in the run folder.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = run_dir(spark, label), f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).option("path", path)
+     .saveAsTable(name))
+    try:
+        return write_once(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -73,6 +73,51 @@ def test_row_stats_of_empty_table(spark):
     assert (r["row_count"], r["distinct_row_count"]) == (0, 0)
 
 
+def _row_stats(df, **more):
+    r = ops.row_stats(df, **more).first()
+    return r["row_count"], r["distinct_row_count"]
+
+
+def test_row_stats_tells_apart_what_hashes_pass_over(spark):
+    rows_ = [("a", None), (None, "a"), (None, None), ("", None), (None, ""), ("a", None)]
+    assert _row_stats(spark.createDataFrame(rows_, "s string, t string")) == (6, 5)
+    nan = float("nan")
+    numbers = spark.createDataFrame([(0.0,), (-0.0,), (nan,), (nan,), (None,)], "d double")
+    assert _row_stats(numbers) == (5, numbers.distinct().count()) == (5, 3)
+    nested = spark.createDataFrame([([None, "a"],), (["a", None],), (["a"],)], "a array<string>")
+    assert _row_stats(nested) == (3, 3)
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_row_stats_is_exact_when_digests_clash(spark, monkeypatch, broadcast_rows):
+    from appmart.operators import aggregates
+    real = aggregates.row_digest
+    monkeypatch.setattr(aggregates, "row_digest", lambda cols: [F.pmod(real(cols)[0], F.lit(4)), F.lit(0)])
+    monkeypatch.setattr(aggregates, "broadcast_if_small", lambda df: ops.broadcast_if_small(df, broadcast_rows))
+    df = spark.range(300).select((F.col("id") % 50).alias("i"), (F.col("id") % 3).cast("string").alias("s"))
+    assert _row_stats(df) == (300, 150)
+
+
+def test_row_stats_leaves_constants_out(spark):
+    df = spark.createDataFrame([(1, "t"), (1, "t"), (2, "t")], "i int, stamp string")
+    assert _row_stats(df, constant=["stamp"]) == (3, 2)
+    assert _row_stats(df.select("stamp"), constant=["stamp"]) == (3, 1)
+    assert _row_stats(df.select("stamp").limit(0), constant=["stamp"]) == (0, 0)
+
+
+def test_row_stats_shuffles_digests_not_rows(spark):
+    from appmart.operators.aggregates import digest_groups
+    df = spark.range(10).select("id", F.repeat(F.lit("text"), 50).alias("long_text"), F.lit("now").alias("stamp"))
+    groups = digest_groups(df, ["id", "long_text"])
+    groups.write.format("noop").mode("overwrite").save()
+    plan = groups._jdf.queryExecution().executedPlan()
+    exchange = [x for x in plan.toString().split("\n") if "Exchange hashpartitioning" in x]
+    assert exchange and all("_digest1" in x and "_digest2" in x and "long_text" not in x and "stamp" not in x
+                            for x in exchange)
+    below = plan.toString().split("Exchange hashpartitioning")[1].split("\n")[1]
+    assert "keys=[_digest1" in below and "partial_count" in below
+
+
 def test_group_avg_null_group_null_metric_and_rounding(spark):
     df = spark.createDataFrame(
         [("A", 1.0, None), ("A", 2.0, None), (None, 1.005, 4.0), (None, None, 5.0)],
@@ -131,9 +176,10 @@ def _naive_fallback(spark, left, right):
         spark.conf.set("spark.sql.crossJoin.enabled", with_cross)
 
 
-@pytest.mark.parametrize("bucket_rows,broadcast_rows", [(100_000, 500_000), (2, 0)])
+@pytest.mark.parametrize("bucket_rows,broadcast_rows", [(100_000, 500_000), (100_000, 0), (2, 0), (1, 0)])
 def test_join_coalesce_fallback_equals_naive_form(spark, monkeypatch, bucket_rows, broadcast_rows):
     monkeypatch.setattr(joins, "ORPHAN_BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(joins, "ELIGIBLE_CHUNK_ROWS", bucket_rows)
     left = spark.createDataFrame(
         [("k1", "k1", 1), ("k1", "k2", 2), ("k2", "k2", 3), (None, None, 4), ("k3", None, 5)],
         "lk string, fb string, lid int")
@@ -147,13 +193,26 @@ def test_join_coalesce_fallback_equals_naive_form(spark, monkeypatch, bucket_row
     assert sorted(map(key, got.collect())) == sorted(map(key, _naive_fallback(spark, left, right)))
 
 
-def test_join_coalesce_fallback_spreads_equal_null_key_rows(spark, monkeypatch):
+def test_join_coalesce_fallback_spreads_equal_rows_of_both_sides(spark, monkeypatch):
     monkeypatch.setattr(joins, "ORPHAN_BUCKET_ROWS", 50)
-    left = spark.createDataFrame([("k", "k", i) for i in range(40)], "lk string, fb string, lid int")
+    monkeypatch.setattr(joins, "ELIGIBLE_CHUNK_ROWS", 20)
+    left = spark.createDataFrame([("k", "k", 1)] * 120, "lk string, fb string, lid int")
     right = spark.createDataFrame([(None, 7)] * 400, "rk string, rid int")
-    got, _ = ops.join_coalesce_fallback(left, right, "lk", "rk", F.col("fb"), max_broadcast_rows=0)
-    counts = got.groupBy("lid").count().collect()
-    assert len(counts) == 40 and {r["count"] for r in counts} == {400}
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got, _ = ops.join_coalesce_fallback(left, right, "lk", "rk", F.col("fb"), max_broadcast_rows=0)
+        shares = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+    # 6 x 8 blocks of about 20 x 50 pairs over 8 partitions, though all rows of a side are equal.
+    assert sum(shares) == 120 * 400 and max(shares) < 120 * 400 / 2
+
+
+def test_chunks_follow_the_row_count(spark):
+    for rows_, chunks in ((0, 1), (10, 1), (11, 2), (95, 10)):
+        df, n = joins._in_chunks(spark.range(rows_), "_c", 10, "chunks")
+        assert n == chunks and df.count() == rows_ and df.where(f"_c < 0 or _c >= {chunks}").count() == 0
 
 
 @pytest.mark.parametrize("broadcast_rows", [500_000, 0])
@@ -181,6 +240,41 @@ def test_join_spread_divides_a_hot_key(spark):
     assert sum(shares) == 4000 and max(shares) <= 1600
 
 
+def test_only_heavy_keys_are_salted(spark):
+    left = spark.createDataFrame([("hot", u) for u in range(900)] + [(f"k{u}", u) for u in range(300)], "k string, u int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2)] + [(f"k{u}", u) for u in range(400)] + [(None, 3)], "k string, r int")
+    heavy = joins.heavy_keys(left, ["k"], 150)
+    assert [r["_parts"] for r in heavy.collect()] == [6]
+    here, there = joins.salted(left, right, ["k"], ["u"], heavy)
+    copies = {r["k"]: r["count"] for r in there.groupBy("k").count().collect()}
+    assert copies.pop("hot") == 2 * 6 and set(copies.values()) == {1} and len(copies) == 401
+    parts = here.where("k = 'hot'").groupBy("_part").count().collect()
+    assert len(parts) == 6 and here.where("k != 'hot' and _part != 0").count() == 0
+    got = ops.join_spread(left, right, ["k"], ["u"], max_broadcast_rows=0, share=150)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    # No heavy key: a plain join.
+    plain = ops.join_spread(left, right, ["k"], ["u"], max_broadcast_rows=0, share=2000)
+    assert plain.count() == got.count() and "_part" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_very_long_rows_take_the_shuffle(spark):
+    from appmart.session import materialise
+    short = spark.range(20).select("id", F.lit("x").alias("note"))
+    long_ = spark.range(20).select("id", F.repeat(F.lit("long text "), 20_000).alias("note"))
+    assert joins.fits(short, 100, 1 << 20) and not joins.fits(long_, 100, 1 << 20)
+    assert joins.fits(long_, 100, 4 << 20) and joins.fits(long_, 100, 1 << 20, columns=["id"])
+    # Files of repeated text are small; what would be sent is not. A frame made of a stored one is measured itself.
+    stored = materialise(long_, "long-rows")
+    assert not joins.fits(stored, 100, 1 << 20) and not joins.fits(stored.where("id < 15"), 100, 1 << 20)
+    assert joins.fits(stored.where("id < 2"), 100, 1 << 20) and joins.fits(stored, 100, 1 << 20, columns=["id"])
+    nested = spark.range(20).select("id", F.array_repeat(F.lit("abc"), 50_000).alias("a"))
+    assert not joins.fits(nested, 100, 1 << 20)
+    facts_ = spark.range(100).withColumn("v", F.lit(1))
+    hint = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in hint(facts_.join(joins.broadcast_if_small(short, 100, 1 << 20), "id"))
+    assert "broadcast" not in hint(facts_.join(joins.broadcast_if_small(stored, 100, 1 << 20), "id"))
+
+
 def test_join_coalesce_fallback_without_null_keys_is_equi_join(spark):
     left = spark.createDataFrame([("k1", "k1", 1)], "lk string, fb string, lid int")
     right = spark.createDataFrame([("k1", 10)], "rk string, rid int")
