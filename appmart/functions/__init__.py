@@ -22,6 +22,7 @@ DATE_PATTERN = "yyyy-M-d"
 # Timestamps with whole seconds and a zone name, e.g. 2024-01-05 03:04:05 UTC.
 TS_SECONDS_PATTERN = "yyyy-M-d H:m:s VV"
 # The same with an optional fraction of up to six digits.
+MORE_THAN_MICROS = r"(:[0-9]{1,2}\.[0-9]{6})[0-9]{1,3}(?= )"
 TS_FRACTION_PATTERN = "yyyy-M-d H:m:s[.SSSSSS] VV"
 # Canonical day text inside keys.
 DAY_TEXT_PATTERN = "yyyy-MM-dd"
@@ -87,8 +88,11 @@ def parse_ts_seconds(c: Column | str) -> Column:
 
 
 def parse_ts_fraction(c: Column | str) -> Column:
-    """Parse ``y-M-d H:m:s[.ffffff] ZONE`` with an optional fraction."""
-    return F.to_timestamp(F.trim(_col(c)), TS_FRACTION_PATTERN)
+    """Parse ``y-M-d H:m:s[.fffffffff] ZONE`` with an optional fraction.
+
+    Timestamps hold microseconds; digits 7 to 9 of a fraction are cut off.
+    """
+    return F.to_timestamp(F.regexp_replace(F.trim(_col(c)), MORE_THAN_MICROS, "$1"), TS_FRACTION_PATTERN)
 
 
 def ts_literal(text: str) -> Column:

@@ -1,7 +1,9 @@
 """Fixed-schema CSV sources (A1, A2).
 
 Columns bind by position to a declared schema; headers are skipped, never
-trusted, and nothing is inferred. Malformed rows fail the job. Spark's CSV
+trusted, and nothing is inferred. Malformed rows fail the job. An absent text
+(``,,``) is NULL, a quoted empty one (``,"",``) is the empty text; an empty number is
+NULL either way. Spark's CSV
 reader only parses the columns a query needs, so a bad value in an unread
 column surfaces when the full-width table is written — which is why the
 pipeline writes the raw table first and counts the written copy.
@@ -13,16 +15,22 @@ import posixpath
 import re
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Stands for a missing value while a line is parsed. A quoted empty value is parsed as '' and
+#: an absent one as this text, so the two stay apart; it holds a control character and no data should.
+MISSING = "\u0001missing\u0001"
+
 CSV_READ_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
     "mode": "FAILFAST",
     "escape": '"',
     "multiLine": "false",
+    "nullValue": MISSING,
+    "emptyValue": "",
 }
 
 CSV_WRITE_OPTIONS = {
@@ -36,10 +44,22 @@ CSV_WRITE_OPTIONS = {
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Scan CSV file(s) with a declared schema, one header row, strict parsing."""
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields]))
     for key, value in CSV_READ_OPTIONS.items():
         reader = reader.option(key, value)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    texts = reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    return texts.select(*[_typed(f) for f in schema.fields])
+
+
+def _typed(field: T.StructField) -> Column:
+    """The value of a column of texts; one that is not of the type fails the job, whatever the session's settings."""
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return text
+    value = text.try_cast(field.dataType)
+    wrong = F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}: "), text)
+    return (F.when(text == "", F.lit(None)).when(text.isNotNull() & value.isNull(), F.raise_error(wrong))
+            .otherwise(value).cast(field.dataType).alias(field.name))
 
 
 def write_csv(df: DataFrame, path: str) -> str:

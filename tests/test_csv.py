@@ -34,10 +34,16 @@ def test_header_names_are_ignored_columns_bind_by_position(spark, scratch):
     assert read_csv(spark, p, SCHEMA).collect() == [("foo", 7, 2.5)]
 
 
-def test_empty_and_quoted_empty_read_as_null(spark, scratch):
-    p = write_text(os.path.join(scratch, "t.csv"), 'name,n,x\n,,\n"",1,""\n')
+def test_missing_text_is_null_and_quoted_empty_text_is_empty(spark, scratch):
+    p = write_text(os.path.join(scratch, "t.csv"), 'name,n,x\n,,\n"",1,""\n"","",\n')
     assert sorted(map(tuple, read_csv(spark, p, SCHEMA).collect()), key=repr) == \
-        sorted([(None, None, None), (None, 1, None)], key=repr)
+        sorted([(None, None, None), ("", 1, None), ("", None, None)], key=repr)
+
+
+def test_empty_texts_and_nulls_survive_a_round_trip(spark, scratch):
+    data = [("", 1, None), (None, 2, 0.5), (" ", None, None), ('""', 3, None), ("", None, None), (None, None, 1.0)]
+    path = write_csv(spark.createDataFrame(data, SCHEMA), os.path.join(scratch, "t.csv"))
+    assert sorted(map(tuple, read_csv(spark, path, SCHEMA).collect()), key=repr) == sorted(data, key=repr)
 
 
 def test_doubled_quotes_are_escaped_quotes(spark, scratch):
@@ -53,6 +59,17 @@ def test_bad_rows_fail_a_full_width_write(spark, scratch, body):
         df.write.format("noop").mode("overwrite").save()
 
 
+def test_bad_numbers_fail_without_ansi_too(spark, scratch):
+    p = write_text(os.path.join(scratch, "t.csv"), "name,n,x\na,notanumber,1\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="notanumber"):
+            read_csv(spark, p, SCHEMA).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_bad_value_in_unread_column_is_not_seen_by_a_pruned_scan(spark, scratch):
     # Why the pipeline writes the full-width raw table before counting it.
     p = write_text(os.path.join(scratch, "t.csv"), "name,n,x\na,notanumber,1\n")

@@ -107,6 +107,11 @@ def test_parse_ts_seconds(spark, text, expected):
     assert got == expected
 
 
+def test_parse_ts_fraction_rejects_a_tenth_digit(spark):
+    with pytest.raises(Exception):
+        one(spark, fn.parse_ts_fraction, "2024-01-05 03:04:05.1234567890 UTC")
+
+
 def test_parse_ts_seconds_rejects_fraction(spark):
     with pytest.raises(Exception):
         one(spark, fn.parse_ts_seconds, "2024-01-05 03:04:05.123 UTC")
@@ -116,6 +121,9 @@ def test_parse_ts_seconds_rejects_fraction(spark):
     ("2024-01-05 03:04:05 UTC", dt.datetime(2024, 1, 5, 3, 4, 5)),
     ("2024-01-05 03:04:05.123 UTC", dt.datetime(2024, 1, 5, 3, 4, 5, 123000)),
     ("2024-01-05 03:04:05.123456 UTC", dt.datetime(2024, 1, 5, 3, 4, 5, 123456)),
+    ("2024-01-05 03:04:05.1234567 UTC", dt.datetime(2024, 1, 5, 3, 4, 5, 123456)),
+    ("2024-01-05 03:04:05.123456789 UTC", dt.datetime(2024, 1, 5, 3, 4, 5, 123456)),
+    ("2024-1-5 3:4:5.999999999 America/New_York", dt.datetime(2024, 1, 5, 8, 4, 5, 999999)),
 ])
 def test_parse_ts_fraction(spark, text, expected):
     got = one(spark, lambda c: fn.parse_ts_fraction(c).cast("timestamp_ntz"), text)
