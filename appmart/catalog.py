@@ -9,6 +9,7 @@ comparison does not depend on the reader's time zone.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,15 @@ from appmart import functions as fn
 from appmart import operators as ops
 from appmart.functions.keys import app_user_key, campaign_key, day_text_from_date
 from appmart.plans import dims, facts, marts
+from appmart.plans import keyed as ky
+from appmart.plans.pipeline import MART_DB, RAW_DB, run_pipeline
 from appmart.plans.stats import statistics_frame
 from appmart.session import configure, materialise, run_dir, side_by_side
 from appmart.sources import fixtures as fx
 from appmart.sources.csv import read_csv, write_csv
-from appmart.schemas import RAW_SCHEMAS
+from appmart.sources.tables import TableStore
+from appmart.schemas import (KEY_CHECKS_TABLE, MART_SCHEMAS, MART_STATISTICS_TABLE, RAW_SCHEMAS,
+                             RAW_STATISTICS_TABLE)
 
 # Fixed run timestamp of the registered queries, so results are reproducible.
 ETL_TS = "2024-02-01T06:30:00.250000+00:00"
@@ -45,12 +50,15 @@ class Inputs:
     shared folder and read back (lineage cut, column pruning on re-read):
     the dimensions always (several facts conform to each), a fact only when
     the query names it in ``stored_facts`` (it reads that fact several
-    times). A query's own output stays a lazy plan: ``lazy(name)``.
+    times), a raw source with its keys when the query names it in ``staged``
+    (a dimension and a fact read it). A query's own output stays a lazy plan:
+    ``lazy(name)``.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stored_facts: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored_facts: Sequence[str] = (),
+                 staged: Sequence[str] = ()):
         self.spark, self.sf_dir = configure(spark), sf_dir
-        self.stored_facts = frozenset(stored_facts)
+        self.stored_facts, self.staged = frozenset(stored_facts), frozenset(staged)
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
@@ -62,6 +70,14 @@ class Inputs:
     def raw(self, name: str) -> DataFrame:
         return self._get("raw." + name, lambda: fx.RAW_BUILDERS[name](self.spark, self.sf_dir))
 
+    def keyed(self, name: str) -> DataFrame:
+        """A raw source with its keys: staged if the query says so, else its lazy projection."""
+        if name in self.staged:
+            if "keyed." + name not in self._cache:
+                self._cache["keyed." + name] = ky.stage(name, self.raw(name))
+            return self._cache["keyed." + name]
+        return ky.keyed(name, self.raw(name))
+
     @property
     def engagement_raw(self): return self.raw("package_engagement_metrics")
     @property
@@ -91,6 +107,8 @@ class Inputs:
         Tables of one stage must not depend on each other (dimensions, then
         facts), so no two threads build the same table.
         """
+        if self.staged:
+            side_by_side(self.spark, {name: (lambda n=name: self.keyed(n)) for name in sorted(self.staged)})
         for names in stages:
             side_by_side(self.spark, {name: (lambda n=name: self.table(n)) for name in names})
 
@@ -117,13 +135,13 @@ _MART_INPUTS = (facts.ENGAGEMENT, facts.RATING, facts.INSTALLS, facts.TRIALS)
 
 _BUILDS: dict[str, Callable[[Inputs], DataFrame]] = {
     dims.APP_USER_DIM: lambda i: dims.build_app_user_dim(
-        i.engagement_raw, i.ratings_raw, i.installs_raw, i.trials_raw, ETL_TS),
-    dims.CAMPAIGN_DIM: lambda i: dims.build_campaign_dim(i.installs_raw, i.spend_raw, ETL_TS),
-    facts.ENGAGEMENT: lambda i: facts.build_engagement(i.engagement_raw, i.app_dim, ETL_TS),
-    facts.RATING: lambda i: facts.build_ratings(i.ratings_raw, i.app_dim, ETL_TS),
-    facts.INSTALLS: lambda i: facts.build_installs(i.installs_raw, i.app_dim, i.campaign_dim, ETL_TS),
-    facts.TRIALS: lambda i: facts.build_trials(i.trials_raw, i.app_dim, ETL_TS),
-    facts.SPEND: lambda i: facts.build_spend(i.spend_raw, i.campaign_dim, ETL_TS),
+        i.keyed(ky.ENGAGEMENT), i.keyed(ky.RATINGS), i.keyed(ky.INSTALLS), i.keyed(ky.TRIALS), ETL_TS),
+    dims.CAMPAIGN_DIM: lambda i: dims.build_campaign_dim(i.keyed(ky.INSTALLS), i.keyed(ky.SPEND), ETL_TS),
+    facts.ENGAGEMENT: lambda i: facts.build_engagement(i.keyed(ky.ENGAGEMENT), i.app_dim, ETL_TS),
+    facts.RATING: lambda i: facts.build_ratings(i.keyed(ky.RATINGS), i.app_dim, ETL_TS),
+    facts.INSTALLS: lambda i: facts.build_installs(i.keyed(ky.INSTALLS), i.app_dim, i.campaign_dim, ETL_TS),
+    facts.TRIALS: lambda i: facts.build_trials(i.keyed(ky.TRIALS), i.app_dim, ETL_TS),
+    facts.SPEND: lambda i: facts.build_spend(i.keyed(ky.SPEND), i.campaign_dim, ETL_TS),
     marts.MERGED: lambda i: marts.build_merged_app_users(i.installs, i.trials, i.ratings,
                                                          i.engagement, ETL_TS),
     marts.COUNTRY_AVERAGES: lambda i: marts.build_country_averages(i.engagement, i.countries, ETL_TS),
@@ -134,10 +152,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
 
 
-def query(name: str, stored_facts: Sequence[str] = ()):
+def query(name: str, stored_facts: Sequence[str] = (), staged: Sequence[str] = ()):
     def register(fn_: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         _REGISTRY[name] = lambda spark, sf_dir: utc_wall_clock(
-            fn_(Inputs(spark, sf_dir, stored_facts=stored_facts)))
+            fn_(Inputs(spark, sf_dir, stored_facts=stored_facts, staged=staged)))
         return fn_
     return register
 
@@ -155,30 +173,88 @@ def q_csv_roundtrip(i: Inputs) -> DataFrame:
     return read_csv(i.spark, path, RAW_SCHEMAS["user_installs"])
 
 
+def _with_empty_texts(df: DataFrame) -> DataFrame:
+    """Every text of a length divisible by five becomes the empty text; NULL stays NULL."""
+    return df.select(*[
+        F.when(F.length(f.name) % 5 == 0, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
+
+
+def _profile(df: DataFrame, table: str) -> DataFrame:
+    """Per column: rows, NULLs, empty texts, different values, and the least and greatest text."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for k, f in enumerate(df.schema.fields):
+        text = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.lit(None).cast("string")
+        aggs += [F.struct(
+            F.lit(f.name).alias("column_name"), F.count_if(F.col(f.name).isNull()).alias("nulls"),
+            F.count_if(text == "").alias("empties"), F.countDistinct(f.name).alias("kinds"),
+            F.min(text).alias("least"), F.max(text).alias("greatest")).alias(f"_{k}")]
+    columns = F.array(*[F.col(f"_{k}") for k in range(len(df.columns))])
+    return df.agg(*aggs).select("_rows", F.explode(columns).alias("c")).select(
+        F.lit(table).alias("table_name"), F.col("_rows").alias("row_count"), "c.*")
+
+
+@query("csv_roundtrip_all")
+def q_csv_roundtrip_all(i: Inputs) -> DataFrame:
+    """All eight raw tables through CSV, with empty texts and NULLs: what comes back, column by column."""
+    base = run_dir(i.spark, "csv-roundtrip-all")
+    frames = []
+    for name in RAW_SCHEMAS:
+        path = write_csv(_with_empty_texts(i.raw(name)), f"{base}/{name}.csv")
+        frames.append(_profile(read_csv(i.spark, path, RAW_SCHEMAS[name]), name))
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query("etl_stamp")
 def q_etl_stamp(i: Inputs) -> DataFrame:
     return ops.stamp(i.spend_raw, ETL_TS)
 
 
-@query("pipeline_table_counts")
-def q_pipeline_table_counts(i: Inputs) -> DataFrame:
-    """Full pipeline over fixture CSVs; its statistics rows, without timing columns."""
-    from appmart.plans.pipeline import MART_DB, RAW_DB, run_pipeline
-    from appmart.schemas import MART_STATISTICS_TABLE, RAW_STATISTICS_TABLE
-    from appmart.sources.tables import TableStore
-
+def _pipeline_run(i: Inputs, etl_ts: str | None) -> TableStore:
+    """The full pipeline over CSVs of the raw tables, in a fresh run folder."""
     root = run_dir(i.spark, "pipeline")
-    src = root + "/sources"
     for name in RAW_SCHEMAS:
-        write_csv(i.raw(name), f"{src}/{name}.csv")
+        write_csv(i.raw(name), f"{root}/sources/{name}.csv")
     store = TableStore(i.spark, root + "/warehouse")
-    run_pipeline(i.spark, src, store, etl_ts=ETL_TS, dag_execution_date=DAG_EXECUTION_DATE)
+    run_pipeline(i.spark, f"{root}/sources", store, etl_ts=etl_ts, dag_execution_date=DAG_EXECUTION_DATE)
+    return store
+
+
+@query("pipeline_table_counts")
+def q_pipeline_table_counts(i: Inputs) -> DataFrame:
+    """Full pipeline over fixture CSVs; its statistics rows, without timing columns."""
+    store = _pipeline_run(i, ETL_TS)
     cols = ["table_name", "etl_timestamp", "row_loaded_to_bq", "distinct_row_loaded_to_bq"]
     raw_stats = store.read(RAW_DB, RAW_STATISTICS_TABLE).select(F.lit(RAW_DB).alias("layer"), *cols)
     mart_stats = store.read(MART_DB, MART_STATISTICS_TABLE).select(F.lit(MART_DB).alias("layer"), *cols)
     return raw_stats.unionByName(mart_stats)
 
 
+@query("pipeline_key_checks")
+def q_pipeline_key_checks(i: Inputs) -> DataFrame:
+    """Full pipeline; its record of the declared keys."""
+    return _pipeline_run(i, ETL_TS).read(MART_DB, KEY_CHECKS_TABLE)
+
+
+@query("run_timestamp")
+def q_run_timestamp(i: Inputs) -> DataFrame:
+    """Full pipeline with a run timestamp of its own: per table the rows, how many timestamps they
+    carry, and whether that is the one of all tables, taken in UTC while the run went on."""
+    before = datetime.now(timezone.utc)
+    store = _pipeline_run(i, None)
+    after = datetime.now(timezone.utc)
+    tables = [(RAW_DB, name) for name in RAW_SCHEMAS] + [(MART_DB, name) for name in MART_SCHEMAS]
+    rows = materialise(reduce(DataFrame.unionByName, [
+        store.read(db, name).agg(F.count(F.lit(1)).alias("row_count"),
+                                 F.countDistinct("etl_timestamp").alias("n_timestamps"),
+                                 F.min("etl_timestamp").alias("least"), F.max("etl_timestamp").alias("greatest"))
+        .select(F.lit(db).alias("layer"), F.lit(name).alias("table_name"), "*") for db, name in tables]), "timestamps")
+    of_run = rows.agg((F.min("least") == F.max("greatest")).alias("one")).first()
+    begun, ended = (fn.ts_literal(t.isoformat()) for t in (before, after))
+    return rows.select("layer", "table_name", "row_count", "n_timestamps", F.lit(of_run["one"]).alias("one_of_run"),
+                       F.coalesce(F.col("least").between(begun, ended), F.lit(True)).alias("taken_in_run"))
+
+
 # --- B: projections ----------------------------------------------------------
 
 @query("project_rename")
@@ -257,7 +333,22 @@ def q_join_coalesce_fallback(i: Inputs) -> DataFrame:
                          "order_id", "country_code", "sessions")
 
 
-@query("merged_app_users")
+@query("join_coalesce_fallback_nulls")
+def q_join_coalesce_fallback_nulls(i: Inputs) -> DataFrame:
+    """The same join with engagement rows that have no key where the version is missing: each of
+    them pairs with every user. The pairs are formed in blocks, as for sides of any size."""
+    left = materialise(_installs_with_trials(i).select("u_hash_key", "t_hash_key", "u_user_id", "order_id"), "install-orders")
+    keyed = i.keyed(ky.ENGAGEMENT)
+    eng = materialise(keyed.select(F.when(F.col("version").isNotNull(), F.col("hash_key")).alias("e_hash_key"),
+                                   "country_code", "sessions"), "engagement-side")
+    joined, _ = ops.join_coalesce_fallback(
+        left, eng, left_key="u_hash_key", right_key="e_hash_key",
+        fallback=F.coalesce(F.col("u_hash_key"), F.col("t_hash_key")), max_broadcast_rows=0)
+    return joined.select(F.col("u_hash_key").alias("hash_key"), "e_hash_key", F.col("u_user_id").alias("user_id"),
+                         "order_id", "country_code", "sessions")
+
+
+@query("merged_app_users", staged=[ky.ENGAGEMENT, ky.RATINGS, ky.INSTALLS, ky.TRIALS])
 def q_merged_app_users(i: Inputs) -> DataFrame:
     i.prefetch(_DIMENSIONS)
     return i.lazy(marts.MERGED)
@@ -288,10 +379,10 @@ def q_distinct_row_count(i: Inputs) -> DataFrame:
 
 @query("row_and_distinct_count")
 def q_row_and_distinct_count(i: Inputs) -> DataFrame:
-    frames = [ops.row_stats(i.raw(name)).select(F.lit(name).alias("table_name"), "row_count",
-                                                "distinct_row_count")
-              for name in RAW_SCHEMAS]
-    return reduce(DataFrame.unionByName, frames)
+    raw = {name: i.raw(name) for name in RAW_SCHEMAS}
+    counted = side_by_side(i.spark, {name: (lambda n=name: ops.row_stats(raw[n])) for name in RAW_SCHEMAS})
+    return reduce(DataFrame.unionByName, [
+        counted[name].select(F.lit(name).alias("table_name"), "row_count", "distinct_row_count") for name in RAW_SCHEMAS])
 
 
 @query("cte_daily_trials")
@@ -412,33 +503,33 @@ def q_date_campaign_country_mapping(i: Inputs) -> DataFrame:
     return i.lazy(dims.CAMPAIGN_DIM)
 
 
-@query("app_engagement_metrics")
+@query("app_engagement_metrics", staged=[ky.ENGAGEMENT])
 def q_app_engagement_metrics(i: Inputs) -> DataFrame:
     return i.lazy(facts.ENGAGEMENT)
 
 
-@query("app_rating")
+@query("app_rating", staged=[ky.RATINGS])
 def q_app_rating(i: Inputs) -> DataFrame:
     return i.lazy(facts.RATING)
 
 
-@query("user_installs")
+@query("user_installs", staged=[ky.INSTALLS])
 def q_user_installs(i: Inputs) -> DataFrame:
     i.prefetch(_DIMENSIONS)
     return i.lazy(facts.INSTALLS)
 
 
-@query("user_subscription_trials")
+@query("user_subscription_trials", staged=[ky.TRIALS])
 def q_user_subscription_trials(i: Inputs) -> DataFrame:
     return i.lazy(facts.TRIALS)
 
 
-@query("ua_campaign_spendings")
+@query("ua_campaign_spendings", staged=[ky.SPEND])
 def q_ua_campaign_spendings(i: Inputs) -> DataFrame:
     return i.lazy(facts.SPEND)
 
 
-@query("avg_session_by_country")
+@query("avg_session_by_country", staged=[ky.ENGAGEMENT])
 def q_avg_session_by_country(i: Inputs) -> DataFrame:
     return i.lazy(marts.COUNTRY_AVERAGES)
 
@@ -456,15 +547,16 @@ def q_pk_duplicates(i: Inputs) -> DataFrame:
 @query("fk_orphans")
 def q_fk_orphans(i: Inputs) -> DataFrame:
     """Install rows whose key is missing from a dimension built from engagement alone."""
-    engagement_only = materialise(dims.app_user_rows_by_date(i.engagement_raw).distinct(),
+    engagement_only = materialise(dims.app_user_rows(ky.ENGAGEMENT, i.engagement_raw).distinct(),
                                   "engagement-only-dim")
     orphans = ops.fk_orphans(i.installs, engagement_only, "hash_key")
     return orphans.select("hash_key", "user_id", "hash_date_campaign_country")
 
 
-@query("table_statistics", stored_facts=_MART_INPUTS)
+@query("table_statistics", stored_facts=_MART_INPUTS, staged=ky.SOURCES)
 def q_table_statistics(i: Inputs) -> DataFrame:
     """Statistics of all nine modelled tables; facts read by several are stored once."""
     i.prefetch(_DIMENSIONS, _MART_INPUTS)
-    frames = [statistics_frame(i.table(name), name, ETL_TS, DAG_EXECUTION_DATE) for name in _BUILDS]
-    return reduce(DataFrame.unionByName, frames)
+    counted = side_by_side(i.spark, {name: (lambda n=name: statistics_frame(i.table(n), n, ETL_TS, DAG_EXECUTION_DATE))
+                                     for name in _BUILDS})
+    return reduce(DataFrame.unionByName, [counted[name] for name in _BUILDS])

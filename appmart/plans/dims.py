@@ -3,6 +3,7 @@
 Each dimension keeps the *raw* text next to the normalised key, so one key
 can have several rows (``Foo`` and ``foo `` share a key). That is the
 defined content, kept as is; :func:`appmart.operators.pk_duplicates` reports it.
+Builders take raw sources or their keyed form (see ``keyed``).
 """
 
 from __future__ import annotations
@@ -10,57 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appmart import functions as fn
-from appmart.functions.keys import app_user_key, campaign_key
 from appmart.operators import conform, stamp, union_distinct
+from appmart.plans import keyed as ky
 from appmart.schemas import MART_SCHEMAS
 
 APP_USER_DIM = "app_user_mapping_hash_key"
 CAMPAIGN_DIM = "date_campaign_country_mapping_hash_key"
 
 
-def app_user_rows_by_date(raw: DataFrame, version: str = "version") -> DataFrame:
-    """(hash_key, package, date, version) of a source dated by a ``yyyy-M-d`` string."""
-    day = fn.parse_date("date")
-    return raw.select(
-        app_user_key("package", fn.format_day(day), version).alias("hash_key"),
-        F.col("package"),
-        fn.day_start(day).alias("date"),
-        F.col(version).alias("version"),
-    )
+def app_user_rows(source: str, df: DataFrame) -> DataFrame:
+    """(hash_key, package, date, version) of a source; trials are dated by install time."""
+    return ky.keyed(source, df).select("hash_key", "package", F.col("day").alias("date"), "version")
 
 
-def app_user_rows_by_ts(raw: DataFrame, ts: str, version: str) -> DataFrame:
-    """(hash_key, package, date, version) of a source dated by a timestamp string (UTC day)."""
-    day = fn.utc_day(fn.parse_ts_seconds(ts))
-    return raw.select(
-        app_user_key("package", fn.format_day(day), version).alias("hash_key"),
-        F.col("package"),
-        fn.day_start(day).alias("date"),
-        F.col(version).alias("version"),
-    )
-
-
-def campaign_rows(raw: DataFrame) -> DataFrame:
-    """(hash_key, date, campaign, country) of a source with date, campaign, country."""
-    day = fn.parse_date("date")
-    return raw.select(
-        campaign_key(fn.format_day(day), "campaign", "country").alias("hash_key"),
-        fn.day_start(day).alias("date"),
-        F.col("campaign"),
-        F.col("country"),
-    )
+def campaign_rows(source: str, df: DataFrame) -> DataFrame:
+    """(hash_key, date, campaign, country) of installs or spendings."""
+    key = "hash_date_campaign_country" if source == ky.INSTALLS else "hash_key"
+    return ky.keyed(source, df).select(F.col(key).alias("hash_key"), F.col("day").alias("date"), "campaign", "country")
 
 
 def app_user_union(engagement: DataFrame, ratings: DataFrame, installs: DataFrame,
                    trials: DataFrame) -> DataFrame:
-    """Distinct app-user rows of the four sources; trials are dated by install time."""
-    return union_distinct(
-        app_user_rows_by_date(engagement),
-        app_user_rows_by_ts(ratings, "date", "app_version_name"),
-        app_user_rows_by_date(installs),
-        app_user_rows_by_ts(trials, "installTimestamp", "version"),
-    )
+    """Distinct app-user rows of the four sources."""
+    return union_distinct(app_user_rows(ky.ENGAGEMENT, engagement), app_user_rows(ky.RATINGS, ratings),
+                          app_user_rows(ky.INSTALLS, installs), app_user_rows(ky.TRIALS, trials))
 
 
 def build_app_user_dim(engagement: DataFrame, ratings: DataFrame, installs: DataFrame,
@@ -76,5 +50,5 @@ def build_app_user_dim(engagement: DataFrame, ratings: DataFrame, installs: Data
 
 def build_campaign_dim(installs: DataFrame, spend: DataFrame, etl_ts: str) -> DataFrame:
     """Day/campaign/country dimension from installs and spendings."""
-    rows = union_distinct(campaign_rows(installs), campaign_rows(spend))
+    rows = union_distinct(campaign_rows(ky.INSTALLS, installs), campaign_rows(ky.SPEND, spend))
     return conform(stamp(rows, etl_ts), MART_SCHEMAS[CAMPAIGN_DIM])

@@ -1,19 +1,19 @@
 """Fact tables conformed to the key dimensions.
 
-Each fact computes its natural key from the raw columns, keeps the rows
-whose key is in the dimension (a semi-join: only the key is taken from the
-dimension, so a key the dimension holds twice does not duplicate rows), and
-removes duplicate rows.
+Each fact is the distinct rows of its keyed source (see ``keyed``) whose key is in
+the dimension. Duplicates go first, spread evenly over all columns; the
+semi-join then has the smaller set, so no raw rows are exchanged by a skewed
+key. It is a semi-join as only the key is taken from the dimension: a key the
+dimension holds twice does not duplicate rows. Builders take a raw source or
+its keyed form.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from appmart import functions as fn
-from appmart.functions.keys import app_user_key, campaign_key
 from appmart.operators import conform, semi_lookup, stamp
+from appmart.plans import keyed as ky
 from appmart.schemas import MART_SCHEMAS
 
 ENGAGEMENT = "app_engagement_metrics"
@@ -22,91 +22,54 @@ INSTALLS = "user_installs"
 TRIALS = "user_subscription_trials"
 SPEND = "ua_campaign_spendings"
 
-METRICS = ("sessions", "avg_session_duration", "dau", "wau", "mau")
 
+def _finish(rows: DataFrame, table: str, etl_ts: str) -> DataFrame:
+    return conform(stamp(rows, etl_ts), MART_SCHEMAS[table])
 
-def _date_key(version: str = "version"):
-    return app_user_key("package", fn.format_day(fn.parse_date("date")), version)
 
+def keyed_rows(source: str, df: DataFrame) -> DataFrame:
+    """The fact's columns of a source, duplicates included."""
+    return ky.keyed(source, df).select(*ky.FACT_COLUMNS[source])
 
-def _ts_key(ts: str, version: str):
-    return app_user_key("package", fn.format_day(fn.utc_day(fn.parse_ts_seconds(ts))), version)
 
-
-def _finish(keyed: DataFrame, table: str, etl_ts: str) -> DataFrame:
-    return conform(stamp(keyed.distinct(), etl_ts), MART_SCHEMAS[table])
+def engagement_keyed(raw: DataFrame) -> DataFrame:
+    return keyed_rows(ky.ENGAGEMENT, raw)
 
 
-def engagement_keyed(raw: DataFrame) -> DataFrame:
-    return raw.select(_date_key().alias("hash_key"), "country_code", *METRICS)
+def installs_keyed(raw: DataFrame) -> DataFrame:
+    return keyed_rows(ky.INSTALLS, raw)
 
 
-def build_engagement(raw: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
-    """Engagement metrics per app-user key and country."""
-    return _finish(semi_lookup(engagement_keyed(raw), app_dim, "hash_key"), ENGAGEMENT, etl_ts)
+def spend_keyed(raw: DataFrame) -> DataFrame:
+    return keyed_rows(ky.SPEND, raw)
 
 
-def rating_keyed(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        _ts_key("date", "app_version_name").alias("hash_key"),
-        fn.parse_ts_seconds("date").alias("date"),
-        "app_version_code",
-        "star_rating",
-    )
+def build_engagement(source: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
+    """Engagement metrics per app-user key and country."""
+    return _finish(semi_lookup(ky.fact_rows(ky.ENGAGEMENT, source), app_dim, "hash_key"), ENGAGEMENT, etl_ts)
 
 
-def build_ratings(raw: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
+def build_ratings(source: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
     """Ratings keyed by package, UTC day of the rating and version name."""
-    return _finish(semi_lookup(rating_keyed(raw), app_dim, "hash_key"), RATING, etl_ts)
+    return _finish(semi_lookup(ky.fact_rows(ky.RATINGS, source), app_dim, "hash_key"), RATING, etl_ts)
 
 
-def installs_keyed(raw: DataFrame) -> DataFrame:
-    day = fn.format_day(fn.parse_date("date"))
-    return raw.select(
-        app_user_key("package", day, "version").alias("hash_key"),
-        "user_id",
-        "mobile_brand_name",
-        "mobile_marketing_name",
-        campaign_key(day, "campaign", "country").alias("hash_date_campaign_country"),
-        "source",
-    )
-
-
-def build_installs(raw: DataFrame, app_dim: DataFrame, campaign_dim: DataFrame,
+def build_installs(source: DataFrame, app_dim: DataFrame, campaign_dim: DataFrame,
                    etl_ts: str) -> DataFrame:
     """Installs keyed by app-user and by day/campaign/country."""
-    kept = semi_lookup(installs_keyed(raw), app_dim, "hash_key")
+    kept = semi_lookup(ky.fact_rows(ky.INSTALLS, source), app_dim, "hash_key")
     kept = semi_lookup(kept, campaign_dim, "hash_date_campaign_country")
     return _finish(kept, INSTALLS, etl_ts)
 
 
-def trials_keyed(raw: DataFrame) -> DataFrame:
-    """Trials keyed by install day: whole seconds in the key, fractions allowed in columns."""
-    return raw.select(
-        _ts_key("installTimestamp", "version").alias("hash_key"),
-        F.col("userID").alias("user_id"),
-        "sku",
-        F.col("orderID").alias("order_id"),
-        fn.parse_ts_fraction("installTimestamp").alias("install_timestamp"),
-        fn.parse_ts_fraction("purchaseTimestamp").alias("purchase_timestamp"),
-    )
-
-
-def build_trials(raw: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
+def build_trials(source: DataFrame, app_dim: DataFrame, etl_ts: str) -> DataFrame:
     """Subscription trials keyed by the install's app-user key."""
-    return _finish(semi_lookup(trials_keyed(raw), app_dim, "hash_key"), TRIALS, etl_ts)
-
-
-def spend_keyed(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        campaign_key(fn.format_day(fn.parse_date("date")), "campaign", "country").alias("hash_key"),
-        F.col("costILS").alias("cost_ils"),
-    )
+    return _finish(semi_lookup(ky.fact_rows(ky.TRIALS, source), app_dim, "hash_key"), TRIALS, etl_ts)
 
 
-def build_spend(raw: DataFrame, campaign_dim: DataFrame, etl_ts: str) -> DataFrame:
+def build_spend(source: DataFrame, campaign_dim: DataFrame, etl_ts: str) -> DataFrame:
     """Campaign spend per day/campaign/country key.
 
     Equal spends on one key collapse to one row: that is the defined DISTINCT.
     """
-    return _finish(semi_lookup(spend_keyed(raw), campaign_dim, "hash_key"), SPEND, etl_ts)
+    return _finish(semi_lookup(ky.fact_rows(ky.SPEND, source), campaign_dim, "hash_key"), SPEND, etl_ts)

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from appmart import functions as fn
 from appmart.operators import row_stats
+from appmart.operators.projection import ETL_COLUMN
 from appmart.schemas import STATISTICS_SCHEMA
 
 
 def statistics_frame(df: DataFrame, table_name: str, etl_ts: str,
                      dag_execution_date: str | None = None) -> DataFrame:
-    """The deterministic columns of a statistics row, as a lazy one-row DataFrame.
+    """The deterministic columns of a statistics row, as a one-row DataFrame.
 
-    One pass: rows grouped by all columns, then counted and summed.
+    ``df`` carries one run timestamp in all rows, so that column takes no part in the count.
     """
-    stats = row_stats(df)
+    stats = row_stats(df, constant=[ETL_COLUMN])
     dag = fn.ts_literal(dag_execution_date) if dag_execution_date else F.lit(None).cast("timestamp")
     return stats.select(
         F.lit(table_name).alias("table_name"),
@@ -37,8 +38,8 @@ def _instant(text: str | None) -> datetime | None:
 
 
 def load_statistics(spark: SparkSession, table: DataFrame, table_name: str, started: float,
-                    etl_ts: str, dag_execution_date: str | None = None) -> DataFrame:
-    """The full statistics row of a just-written table.
+                    etl_ts: str, dag_execution_date: str | None = None) -> tuple[DataFrame, int]:
+    """The full statistics row of a just-written table, and its row count.
 
     ``load_to_bq_timestamp`` is taken when counting starts; the duration runs
     from ``started`` (a ``time.time()`` value) to after the distinct count,
@@ -46,8 +47,8 @@ def load_statistics(spark: SparkSession, table: DataFrame, table_name: str, star
     the driver.
     """
     loaded_at = datetime.now(timezone.utc)
-    counts = row_stats(table).first()
+    counts = row_stats(table, constant=[ETL_COLUMN]).first()
     duration = round((time.time() - started) / 60, 2)
     row = (table_name, _instant(dag_execution_date), loaded_at, _instant(etl_ts), float(duration),
            int(counts["row_count"]), int(counts["distinct_row_count"]))
-    return spark.createDataFrame([row], STATISTICS_SCHEMA)
+    return spark.createDataFrame([row], STATISTICS_SCHEMA), row[-2]

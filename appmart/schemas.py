@@ -53,6 +53,11 @@ STATISTICS_SCHEMA = _schema(
 RAW_STATISTICS_TABLE = "statistics_drive_to_bq"
 MART_STATISTICS_TABLE = "statistics_analytics"
 
+KEY_CHECKS_TABLE = "key_checks"
+KEY_CHECKS_SCHEMA = _schema(
+    ("table_name", S), ("constraint_type", S), ("column_name", S), ("reference_table", S),
+    ("dag_execution_date", TS), ("etl_timestamp", TS), ("violations", L))
+
 # --- Fixed values: modelled output schemas, in column order.
 MART_SCHEMAS: dict[str, T.StructType] = {
     "app_user_mapping_hash_key": _schema(
@@ -83,9 +88,6 @@ MART_SCHEMAS: dict[str, T.StructType] = {
         ("etl_timestamp", TS)),
 }
 
-# Tables that survive a full refresh (appended to, never dropped).
-
-
 def raw_schema(table: str) -> T.StructType:
     """Schema of a raw source table; unknown names are an error, not an empty schema."""
     try:

@@ -240,6 +240,27 @@ RAW_CTE = {
     "user_subscription_trials": "raw_trials",
 }
 
+# --- Fixed values: columns of the raw tables, and those that hold numbers.
+RAW_COLUMNS = {
+    "app_ratings": "package_name app_version_code app_version_name star_rating date package",
+    "config_history": "package param_name version created_by created_at published_at type config_values",
+    "country_code_to_name": "country country_code country_code_3",
+    "country_names_to_code": "country country_code country_code_3",
+    "package_engagement_metrics": "package date country_code version sessions avg_session_duration dau wau mau",
+    "ua_campaign_spendings": "date campaign country costILS",
+    "user_installs": "package user_id firebase_partition mobile_brand_name mobile_marketing_name version country "
+                     "campaign source date",
+    "user_subscription_trials": "installTimestamp purchaseTimestamp packageName userID sku orderID purchaseToken "
+                                "fcmToken version package",
+}
+NUMBERS = {
+    "app_ratings": ("app_version_code", "star_rating"),
+    "config_history": ("version",),
+    "package_engagement_metrics": ("sessions", "avg_session_duration", "dau", "wau", "mau"),
+    "ua_campaign_spendings": ("costILS",),
+    "user_subscription_trials": ("fcmToken",),
+}
+
 MART_CTE = {
     "app_user_mapping_hash_key": "app_dim",
     "date_campaign_country_mapping_hash_key": "camp_dim",
@@ -279,6 +300,49 @@ def queries() -> dict[str, str]:
         + "distinct_row_loaded_to_bq FROM (\n"
         + _stats_union(MART_CTE, f", {ETL} AS etl_timestamp", stamped=False) + "\n) m")
 
+    keys = [("PRIMARY KEY", t, "hash_key", None) for t in ("app_user_mapping_hash_key",
+                                                          "date_campaign_country_mapping_hash_key")]
+    keys += [("FOREIGN KEY", t, c, r) for t, c, r in [
+        ("app_engagement_metrics", "hash_key", "app_user_mapping_hash_key"),
+        ("app_rating", "hash_key", "app_user_mapping_hash_key"),
+        ("user_subscription_trials", "hash_key", "app_user_mapping_hash_key"),
+        ("user_installs", "hash_key", "app_user_mapping_hash_key"),
+        ("user_installs", "hash_date_campaign_country", "date_campaign_country_mapping_hash_key"),
+        ("ua_campaign_spendings", "hash_key", "date_campaign_country_mapping_hash_key"),
+        ("merged_app_users", "hash_key", "app_user_mapping_hash_key"),
+        ("merged_app_users", "hash_date_campaign_country", "date_campaign_country_mapping_hash_key")]]
+    q["pipeline_key_checks"] = with_ctes(*MART_CTE.values()) + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{kind}' AS constraint_type, '{c}' AS column_name, "
+        f"{f"'{r}'" if r else 'CAST(NULL AS VARCHAR)'} AS reference_table, {DAG} AS dag_execution_date, "
+        f"{ETL} AS etl_timestamp, CAST((SELECT count(*) FROM "
+        + (f"{MART_CTE[t]} WHERE {c} NOT IN (SELECT hash_key FROM {MART_CTE[r]})" if r else
+           f"(SELECT {c} FROM {MART_CTE[t]} GROUP BY {c} HAVING count(*) > 1)")
+        + ") AS BIGINT) AS violations" for kind, t, c, r in keys)
+
+    q["run_timestamp"] = with_ctes(*RAW_CTE.values(), *MART_CTE.values()) + "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+        f"CAST(least(count(*), 1) AS BIGINT) AS n_timestamps, true AS one_of_run, true AS taken_in_run FROM {c}"
+        for layer, tables in (("data", RAW_CTE), ("analytics", MART_CTE)) for t, c in tables.items())
+
+    def profile(table: str, source: str, column: str) -> str:
+        text = column not in NUMBERS.get(table, ())
+        value = f"CASE WHEN length({column}) % 5 = 0 THEN '' ELSE {column} END" if text else column
+        ends = "min(v) AS least, max(v) AS greatest" if text else (
+            "CAST(NULL AS VARCHAR) AS least, CAST(NULL AS VARCHAR) AS greatest")
+        empty = "v = ''" if text else "false"
+        return (f"SELECT '{table}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, '{column}' AS column_name, "
+                f"CAST(count(*) FILTER (v IS NULL) AS BIGINT) AS nulls, CAST(count(*) FILTER ({empty}) AS BIGINT) AS empties, "
+                f"CAST(count(DISTINCT v) AS BIGINT) AS kinds, {ends} FROM (SELECT {value} AS v FROM {source})")
+
+    q["csv_roundtrip_all"] = with_ctes(*RAW_CTE.values()) + "\nUNION ALL\n".join(
+        profile(t, source, c) for t, source in RAW_CTE.items() for c in RAW_COLUMNS[t].split())
+
+    q["join_coalesce_fallback_nulls"] = with_ctes("install_orders", "keyed_engagement") + """
+SELECT o.install_key AS hash_key, e.e_hash_key, o.user_id, o.order_id, e.country_code, e.sessions
+FROM install_orders o, (SELECT CASE WHEN version IS NOT NULL THEN app_k END AS e_hash_key, country_code, sessions
+                        FROM keyed_engagement) e
+WHERE o.install_key = COALESCE(e.e_hash_key, o.install_key, o.trial_key)"""
+
     q["project_rename"] = with_ctes("raw_trials") + (
         "SELECT userID AS user_id, orderID AS order_id, sku, version FROM raw_trials")
 

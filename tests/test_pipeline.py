@@ -12,7 +12,8 @@ from appmart import catalog
 from appmart import operators as ops
 from appmart.plans import dims, facts, marts
 from appmart.plans.pipeline import MART_DB, RAW_DB, run_pipeline
-from appmart.schemas import MART_SCHEMAS, MART_STATISTICS_TABLE, RAW_SCHEMAS, RAW_STATISTICS_TABLE
+from appmart.schemas import (KEY_CHECKS_TABLE, MART_SCHEMAS, MART_STATISTICS_TABLE, RAW_SCHEMAS,
+                             RAW_STATISTICS_TABLE)
 from appmart.sources.csv import write_csv
 from appmart.sources.tables import TableStore, qualify
 
@@ -94,7 +95,7 @@ def test_pipeline_tables_equal_lazy_builds(spark, run):
         assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0, name
 
 
-def test_rerun_replaces_tables_and_appends_statistics(spark, run):
+def test_rerun_replaces_tables_and_keeps_statistics_by_run(spark, run):
     store, counts, src = run
     before = {name: Counter(map(tuple, store.read(MART_DB, name).collect())) for name in MART_SCHEMAS}
     # the first run had independent steps side by side; this one runs them in turn
@@ -102,8 +103,100 @@ def test_rerun_replaces_tables_and_appends_statistics(spark, run):
     assert again == counts
     for name in MART_SCHEMAS:
         assert Counter(map(tuple, store.read(MART_DB, name).collect())) == before[name], name
-    per_table = (store.read(MART_DB, MART_STATISTICS_TABLE).groupBy("table_name").count().collect())
-    assert {r["count"] for r in per_table} == {2}
+
+    def per_table(db, table):
+        return {r["count"] for r in store.read(db, table).groupBy("table_name").count().collect()}
+    # a repeated run replaces its rows, another date adds its own
+    assert per_table(MART_DB, MART_STATISTICS_TABLE) == per_table(RAW_DB, RAW_STATISTICS_TABLE) == {1}
+    assert store.read(MART_DB, KEY_CHECKS_TABLE).count() == 10
+    run_pipeline(spark, src, store, etl_ts=ETL, dag_execution_date="2024-02-02T06:00:00+00:00")
+    assert per_table(MART_DB, MART_STATISTICS_TABLE) == per_table(RAW_DB, RAW_STATISTICS_TABLE) == {2}
+    assert store.read(MART_DB, KEY_CHECKS_TABLE).count() == 20
+
+
+def test_key_checks_are_recorded(run):
+    store, _, _ = run
+    found = {(r["table_name"], r["column_name"]): r for r in store.read(MART_DB, KEY_CHECKS_TABLE).collect()}
+    for (table, column), r in found.items():
+        if r["constraint_type"] == "PRIMARY KEY":
+            assert r["violations"] == ops.pk_duplicates(store.read(MART_DB, table), column).count()
+        else:
+            assert r["violations"] == 0 and r["reference_table"]
+    assert found[dims.APP_USER_DIM, "hash_key"]["violations"] > 0
+
+
+class Died(Exception):
+    pass
+
+
+def _dies_at(monkeypatch, table):
+    """The pipeline's job dies when it comes to write ``table``."""
+    real = TableStore.write_version
+
+    def write(self, df, db, name):
+        if name == table:
+            raise Died(name)
+        return real(self, df, db, name)
+    monkeypatch.setattr(TableStore, "write_version", write)
+
+
+def _all_tables(store, db_raw=RAW_DB, db_mart=MART_DB):
+    names = [(db_raw, n) for n in [*RAW_SCHEMAS, RAW_STATISTICS_TABLE]]
+    names += [(db_mart, n) for n in [*MART_SCHEMAS, MART_STATISTICS_TABLE, KEY_CHECKS_TABLE]]
+    return {(db, n): Counter(map(tuple, store.read(db, n).collect())) for db, n in names}
+
+
+@pytest.mark.parametrize("table", [marts.COUNTRY_AVERAGES, MART_STATISTICS_TABLE])
+def test_a_run_that_dies_between_two_marts_leaves_the_old_run_whole(spark, run, tmp_path, monkeypatch, table):
+    _, _, src = run
+    store = TableStore(spark, str(tmp_path / "wh"))
+    run_pipeline(spark, src, store, etl_ts=ETL, dag_execution_date=ETL, workers=1)
+    before = _all_tables(store)
+    later = "2024-03-01T00:00:00+00:00"
+    with monkeypatch.context() as m:
+        _dies_at(m, table)
+        with pytest.raises(Died):
+            run_pipeline(spark, src, store, etl_ts=later, dag_execution_date=later, workers=1)
+    # Another reader sees the old run in all tables, though eight raw tables and most marts were written anew.
+    assert _all_tables(TableStore(spark, str(tmp_path / "wh"))) == before
+    run_pipeline(spark, src, store, etl_ts=later, dag_execution_date=later, workers=1)
+    stamps = {r[0] for db, n in [(RAW_DB, n) for n in RAW_SCHEMAS] + [(MART_DB, n) for n in MART_SCHEMAS]
+              for r in store.read(db, n).select(F.col("etl_timestamp").cast("string")).distinct().collect()}
+    assert stamps == {"2024-03-01 00:00:00"}
+    # The versions of the dead run are gone: two snapshots' ones are left.
+    kept = {v for n in store._manifests() for v in store._load(n)[f"{MART_DB}.{marts.MERGED}"]}
+    assert set(os.listdir(store.location(MART_DB, marts.MERGED))) == kept and len(kept) == 2
+
+
+def test_a_dead_run_leaves_the_views_of_the_catalog(spark, run, tmp_path, monkeypatch):
+    _, _, src = run
+    for db in ("dead_raw", "dead_mart"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / db}'")
+    try:
+        store = TableStore(spark)
+        args = {"workers": 4, "db_raw": "dead_raw", "db_mart": "dead_mart"}
+        run_pipeline(spark, src, store, etl_ts=ETL, dag_execution_date=ETL, **args)
+        before = _all_tables(store, "dead_raw", "dead_mart")
+        with monkeypatch.context() as m:
+            _dies_at(m, marts.MERGED)
+            with pytest.raises(Died):
+                run_pipeline(spark, src, store, etl_ts="2024-03-01T00:00:00+00:00", **args)
+        assert _all_tables(TableStore(spark), "dead_raw", "dead_mart") == before
+    finally:
+        for db in ("dead_raw", "dead_mart"):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_the_callers_settings_come_back(spark, run, tmp_path, monkeypatch):
+    from appmart.plans import pipeline
+    _, _, src = run
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(k) for k in keys]
+    inside = []
+    monkeypatch.setattr("appmart.session.SOURCE_BYTES_PER_SHUFFLE_PARTITION", 1000)
+    monkeypatch.setattr(pipeline, "_load_and_build", lambda *a: inside.append(spark.conf.get(keys[0])))
+    run_pipeline(spark, src, TableStore(spark, str(tmp_path / "wh")), etl_ts=ETL)
+    assert int(inside[0]) > int(before[0]) and [spark.conf.get(k) for k in keys] == before
 
 
 def test_qualify_names():

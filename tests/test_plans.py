@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from appmart import catalog
-from appmart.plans import facts, marts
+from appmart.plans import dims, facts, marts
+from appmart.plans import keyed as ky
+from appmart.schemas import RAW_SCHEMAS
 from appmart.sources import fixtures as fx
 
 from conftest import SF_SMALL
@@ -81,6 +84,56 @@ def test_over_bound_semi_join_and_distinct_share_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 2     # one per join side, none for DISTINCT
 
 
+def _ran(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return plan_of(df)
+
+
+@pytest.mark.parametrize("source", ky.SOURCES)
+def test_staged_source_is_scanned_and_hashed_once_and_its_fact_needs_no_exchange(spark, source):
+    i = catalog.Inputs(spark, SF_SMALL, staged=[source])
+    staged = i.keyed(source)
+    assert i.keyed(source) is staged
+    rows = ky.fact_rows(source, staged)
+    plan = _ran(rows)
+    assert "md5" not in plan and "events" not in plan and "Exchange" not in plan
+    assert plan.count("FileScan parquet") == 1 and "Bucketed: true" in plan
+    # The raw form of the same fact parses and shuffles; the rows are the same.
+    raw = ky.fact_rows(source, i.raw(source))
+    assert "Exchange" in plan_of(raw) and "events" in plan_of(raw)
+    assert rows.exceptAll(raw).count() == 0 and raw.exceptAll(rows).count() == 0
+
+
+def test_dimension_and_fact_read_the_staged_source_without_keys_of_their_own(spark):
+    i = catalog.Inputs(spark, SF_SMALL, staged=ky.SOURCES)
+    i.prefetch([dims.APP_USER_DIM, dims.CAMPAIGN_DIM])
+    for name in (dims.APP_USER_DIM, dims.CAMPAIGN_DIM, facts.INSTALLS, facts.TRIALS, facts.SPEND):
+        plan = plan_of(i.lazy(name))
+        assert "md5" not in plan and "PushedFilters: [IsNotNull(event_type)" not in plan, name
+
+
+def test_hot_key_spreads_over_the_buckets_of_a_staged_source(spark):
+    rows = [("N1", float(n)) for n in range(2000)]
+    raw = spark.createDataFrame([("app", "2024-01-05", c, "1.0", x, 1.0, 1.0, 1.0, 1.0) for c, x in rows],
+                                RAW_SCHEMAS[ky.ENGAGEMENT])
+    staged = ky.stage(ky.ENGAGEMENT, raw)
+    assert staged.select("hash_key").distinct().count() == 1
+    shares = [r["count"] for r in staged.groupBy(F.input_file_name().alias("f")).count().collect()]
+    assert len(shares) == 8 and max(shares) < 2 * 2000 / 8
+
+
+def test_over_bound_fact_exchanges_distinct_rows_only(spark, monkeypatch):
+    # A dimension too large to broadcast: duplicates go in the buckets, then the rest is shuffled by key.
+    from appmart.operators import joins
+    monkeypatch.setattr(joins, "fits", lambda *a, **k: False)
+    i = catalog.Inputs(spark, SF_SMALL, staged=[ky.SPEND])
+    out = facts.build_spend(i.keyed(ky.SPEND), i.campaign_dim, catalog.ETL_TS)
+    plan = _ran(out).split("== Initial Plan ==")[0]
+    assert "LeftSemi" in plan and plan.count("Exchange hashpartitioning(hash_key") == 2
+    below = plan.split("Exchange hashpartitioning(hash_key")[1]
+    assert "HashAggregate" in below and "Bucketed: true" in plan
+
+
 def test_side_by_side_steps_keep_the_callers_job_group(spark):
     from appmart.session import side_by_side
     sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
