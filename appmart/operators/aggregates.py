@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appmart.operators.joins import broadcast_if_small
@@ -92,23 +92,21 @@ def row_stats(df: DataFrame, constant: Collection[str] = ()) -> DataFrame:
     """Row count and exact distinct-row count.
 
     What is shuffled are 16-byte digests with their counts (partial sums per task), not rows.
-    Equal rows have equal digests, so a digest counted once is one distinct row. Only rows whose
-    digest repeats are compared in full: they are picked by their digests (stored; a table
-    without equal rows has none, and no second pass) and counted by DISTINCT. Exact therefore,
-    whatever digests clash. ``constant`` names columns that hold one value in all rows, such as
-    the run timestamp; they take no part. An empty input gives (0, 0). The first pass runs at
-    the call.
+    Equal rows have equal digests, so a digest counted once is one distinct row; a table without
+    equal rows, such as any built by DISTINCT, is done with that. Else the rows whose digest
+    repeats are compared in full: their digests are stored, pick them out, and DISTINCT counts
+    them. Exact therefore, whatever digests clash. ``constant`` names columns that hold one value
+    in all rows, such as the run timestamp; they take no part. An empty input gives (0, 0). The
+    digests are counted at the call.
     """
     names = [c for c in df.columns if c not in set(constant)]
-    seen = Observation()
-    groups = digest_groups(df, names).observe(
-        seen, F.sum("_n").alias("rows"), F.count_if(F.col("_n") == 1).alias("once"))
-    repeated = materialise(groups.where("_n > 1").select(*DIGESTS), "repeated-digests")
-    rows, once = seen.get["rows"] or 0, seen.get["once"] or 0
-    if repeated.isEmpty():
-        # A row of constants only has one digest.
+    groups = digest_groups(df, names)
+    seen = groups.agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") == 1).alias("once")).first()
+    rows, once = seen["rows"] or 0, seen["once"]
+    if rows == once:
         return df.sparkSession.range(1).select(F.lit(rows).cast("long").alias("row_count"),
                                                F.lit(once).cast("long").alias("distinct_row_count"))
+    repeated = materialise(groups.where("_n > 1").select(*DIGESTS), "repeated-digests")
     again = df.select(*_digests(names), *names).join(
         broadcast_if_small(repeated), list(DIGESTS), "left_semi").select(*(names or DIGESTS)).distinct()
     return again.agg(F.count(F.lit(1)).alias("_n")).select(

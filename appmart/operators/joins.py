@@ -48,21 +48,22 @@ def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES,
          columns: Sequence[str] | None = None) -> bool:
     """True when ``df`` (or just its ``columns``) has at most ``max_rows`` rows and ``max_bytes`` bytes of values.
 
-    Both are measured, never estimated: plain sums, one row of figures a task. The rows are
-    counted first (a stored table answers from its file footers), so the bytes of a table
-    with too many rows are not read. Past the bound either way, the answer is no. For a
-    table in write-once files the answer is remembered, so checking one dimension for
-    several facts runs once.
+    Both are measured, never estimated: plain sums, one row of figures a task. For a table in
+    write-once files the answer is remembered, so checking one dimension for several facts
+    runs once. Where the plan reads more than ``max_bytes`` of files the rows are counted first
+    (a stored table answers from its footers), so a large table's texts are not read in vain.
     """
     known = size_checks(df)
     question = (tuple(columns) if columns else None, max_rows, max_bytes)
     if known is not None and question in known:
         return known[question]
     sent = df.select(*columns) if columns else df
-    result = max_rows > 0 and sent.count() <= max_rows
-    if result and any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
-                      for f in sent.schema.fields):
-        result = (sent.agg(F.sum(row_bytes(sent.schema)).alias("b")).first()["b"] or 0) <= max_bytes
+    result = max_rows > 0
+    if result and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > max_bytes:
+        result = sent.count() <= max_rows
+    if result:
+        found = sent.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(sent.schema)).alias("b")).first()
+        result = found["n"] <= max_rows and (found["b"] or 0) <= max_bytes
     if known is not None:
         known[question] = result
     return result
