@@ -90,27 +90,13 @@ class Classifier:
         return e / e.sum()
 
 
-def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: np.ndarray) -> Classifier:
-    """Fit on (domain, distinct words, shape) rows of a domain-balanced sample; ``prior`` are the labelled shares."""
-    y = np.array([s[0] for s in sample])
+def fit(y: np.ndarray, present_words: np.ndarray, shape: np.ndarray, vocabulary: np.ndarray,
+        prior: np.ndarray) -> Classifier:
+    """Fit on a domain-balanced sample: domains, which words of the vocabulary each row has, shapes; ``prior`` are the
+    labelled shares."""
     present = np.unique(y)
-    shape = np.array([s[2] for s in sample])
     mean, scale = shape.mean(axis=0), shape.std(axis=0) + 1e-3
-    flat = np.concatenate([s[1] for s in sample])
-    owner = np.repeat(np.arange(len(sample)), [len(s[1]) for s in sample])
-    vocabulary, inverse = np.unique(flat, return_inverse=True)
-    rates = np.array([np.bincount(inverse[y[owner] == k], minlength=len(vocabulary)) / max(1, (y == k).sum())
-                      for k in range(len(DOMAINS))])[present]
-    # Words whose share of documents differs most between domains, in standard deviations.
-    overall = rates.mean(axis=0)
-    score = (rates.max(axis=0) - rates.min(axis=0)) / np.sqrt(overall * (1 - overall) + 1e-3)
-    chosen = np.sort(np.argsort(-score, kind="stable")[:VOCABULARY])
-    place = np.full(len(vocabulary), -1)
-    place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(sample), len(chosen) + SHAPES), dtype=np.float32)
-    hit = place[inverse] >= 0
-    x[owner[hit], place[inverse[hit]]] = 1
-    x[:, -SHAPES:] = (shape - mean) / scale
+    x = np.hstack([present_words.astype(np.float32), ((shape - mean) / scale).astype(np.float32)])
     target = np.eye(len(DOMAINS), dtype=np.float32)[y]
     w = np.zeros((x.shape[1], len(DOMAINS)), dtype=np.float32)
     bias = np.where(np.isin(np.arange(len(DOMAINS)), present), 0.0, -50.0).astype(np.float32)
@@ -126,7 +112,7 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: np.ndarray) ->
         bias -= move[-1].astype(np.float32) * np.isin(np.arange(len(DOMAINS)), present)
     sampled = np.bincount(y, minlength=len(DOMAINS)) / len(y)
     bias = bias + np.where(sampled > 0, np.log(np.maximum(prior, 1e-9) / np.maximum(sampled, 1e-9)), 0)
-    return Classifier(vocabulary[chosen], mean, scale, w.astype(np.float64), bias)
+    return Classifier(vocabulary, mean, scale, w.astype(np.float64), bias)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
@@ -147,15 +133,57 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(_documents(batch.column(1)))
+            rows = list(_documents(batch.column(2)))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([r[1].tobytes() for r in rows], pa.binary()),
-                pa.array([r[2].tobytes() for r in rows], pa.binary())], ["domain", "w", "s"])
-    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(picked, "_id").select("domain", "text").mapInArrow(
-        features, "domain int, w binary, s binary").collect()  # the bounded sample
+                batch.column(0), batch.column(1),
+                pa.array([r[1].view(np.int64) for r in rows], pa.list_(pa.int64())),
+                pa.array([r[2].tobytes() for r in rows], pa.binary())], ["domain", "h", "w", "s"])
+    sample = materialise(docs.select(F.col("doc_id").alias("_id"), "text").join(picked, "_id").select(
+        "domain", F.xxhash64("_id").alias("h"), "text").mapInArrow(
+        features, "domain int, h long, w array<long>, s binary"), "mixing-features")
+    words_ = vocabulary_of(sample)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = np.zeros((batch.num_rows, VOCABULARY), dtype=bool)
+            lists = batch.column(2)
+            flat, ends = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            owner, flat = np.repeat(np.arange(len(lists)), ends), flat.view(np.uint64)
+            if len(words_) and len(flat):
+                at = np.minimum(np.searchsorted(words_, flat), len(words_) - 1)
+                hit = words_[at] == flat
+                has[owner[hit], at[hit]] = True
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1),
+                pa.array([x.tobytes() for x in np.packbits(has, axis=1)], pa.binary()), batch.column(3)],
+                ["domain", "h", "w", "s"])
+    # Rows of a fixed width, and as many: repeated ids do not add to them.
+    small = materialise(sample.mapInArrow(chosen, "domain int, h long, w binary, s binary"), "mixing-chosen")
+    rows = [r for k in sorted(counts) for r in
+            small.filter(F.col("domain") == k).orderBy("h", "w", "s").limit(SAMPLE_PER_DOMAIN).collect()]
+    if not rows:
+        return None
     total = sum(counts.values())
     prior = np.array([counts.get(k, 0) / total for k in range(len(DOMAINS))])
-    return fit([(r["domain"], np.frombuffer(r["w"], np.uint64), np.frombuffer(r["s"], np.float32)) for r in rows], prior)
+    has = np.unpackbits(np.array([np.frombuffer(r["w"], np.uint8) for r in rows]), axis=1)[:, :len(words_)]
+    return fit(np.array([r["domain"] for r in rows]), has, np.array([np.frombuffer(r["s"], np.float32) for r in rows]),
+               words_, prior)
+
+
+def vocabulary_of(sample: DataFrame) -> np.ndarray:
+    """The VOCABULARY words whose share of documents differs most between domains, in standard deviations; sorted.
+
+    Counted and chosen in Spark, so however long the sampled texts are, only these come to the driver.
+    """
+    sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = sample.select("domain", F.explode("w").alias("word")).groupBy("word").agg(*[
+        (F.count_if(F.col("domain") == k) / float(n)).alias(f"r{k}") for k, n in sorted(sizes.items())])
+    rates = [F.col(f"r{k}") for k in sorted(sizes)]
+    overall = sum(rates[1:], rates[0]) / float(len(rates))
+    spread = (F.greatest(*rates) - F.least(*rates)) if len(rates) > 1 else F.lit(0.0)
+    best = seen.select("word", (spread / F.sqrt(overall * (1 - overall) + 1e-3)).alias("score")).orderBy(
+        F.desc("score"), F.col("word").bitwiseXOR(F.lit(-1 << 63))).limit(VOCABULARY).collect()
+    return np.sort(np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64))
 
 
 def posteriors(docs: DataFrame, model: Classifier | None, keep: list[str] | None = None) -> DataFrame:
