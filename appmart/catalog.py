@@ -12,13 +12,13 @@ from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appmart import functions as fn
 from appmart import operators as ops
-from appmart.functions.keys import app_user_key, campaign_key, day_text_from_date
+from appmart.functions.keys import app_user_key, campaign_key, day_text_from_date, day_text_from_ts
 from appmart.plans import dims, facts, marts
 from appmart.plans import keyed as ky
 from appmart.plans.pipeline import MART_DB, RAW_DB, run_pipeline
@@ -444,6 +444,20 @@ def q_fn_md5_key(i: Inputs) -> DataFrame:
     ).distinct()
 
 
+@query("fn_text_all")
+def q_fn_text_all(i: Inputs) -> DataFrame:
+    """The text functions over every package, campaign and country of all sources."""
+    texts = [i.raw(name).select(F.col("package").alias("t")) for name in
+             (ky.ENGAGEMENT, ky.RATINGS, ky.INSTALLS, ky.TRIALS, "config_history")]
+    texts += [i.raw(name).select(F.col(c).alias("t")) for c in ("campaign", "country") for name in (ky.INSTALLS, ky.SPEND)]
+    return reduce(DataFrame.unionByName, texts).select(
+        "t", fn.lower("t").alias("lowered"), fn.squeeze_whitespace("t").alias("squeezed"),
+        fn.trim_whitespace("t").alias("trimmed"), fn.normalize_text("t").alias("normalized"),
+        fn.md5_hex(fn.normalize_text("t")).alias("digest"),
+        fn.concat_strict("t", F.lit("|"), fn.lower("t")).alias("strict_concat"),
+        fn.coalesce("t", F.lit("none")).alias("present")).distinct()
+
+
 @query("fn_parse_date")
 def q_fn_parse_date(i: Inputs) -> DataFrame:
     src = i.spend_raw
@@ -493,6 +507,28 @@ def q_campaign_key(i: Inputs) -> DataFrame:
                       ).distinct()
 
 
+@query("app_user_key_all")
+def q_app_user_key_all(i: Inputs) -> DataFrame:
+    """The key of all four sources, by date and by timestamp text."""
+    def rows(name: str, day: Column, date: str, version: str) -> DataFrame:
+        return i.raw(name).select(F.lit(name).alias("source"), "package", F.col(date).alias("date"),
+                                  F.col(version).alias("version"),
+                                  app_user_key("package", day, version).alias("hash_key")).distinct()
+    return reduce(DataFrame.unionByName, [
+        rows(ky.ENGAGEMENT, day_text_from_date("date"), "date", "version"),
+        rows(ky.RATINGS, day_text_from_ts("date"), "date", "app_version_name"),
+        rows(ky.INSTALLS, day_text_from_date("date"), "date", "version"),
+        rows(ky.TRIALS, day_text_from_ts("installTimestamp"), "installTimestamp", "version")])
+
+
+@query("campaign_key_all")
+def q_campaign_key_all(i: Inputs) -> DataFrame:
+    return reduce(DataFrame.unionByName, [i.raw(name).select(
+        F.lit(name).alias("source"), "date", "campaign", "country",
+        campaign_key(day_text_from_date("date"), "campaign", "country").alias("hash_key")).distinct()
+        for name in (ky.INSTALLS, ky.SPEND)])
+
+
 @query("app_user_mapping")
 def q_app_user_mapping(i: Inputs) -> DataFrame:
     return i.lazy(dims.APP_USER_DIM)

@@ -33,7 +33,7 @@ from appmart.plans import keyed as ky
 from appmart.plans.stats import load_statistics
 from appmart.schemas import (KEY_CHECKS_SCHEMA, KEY_CHECKS_TABLE, MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
-from appmart.session import fit_shuffle_partitions, fit_split_size, kept_settings, side_by_side
+from appmart.session import fit_shuffle_partitions, fit_split_size, kept_settings, scratch_folders, side_by_side
 from appmart.sources.csv import discover_sources, read_csv
 from appmart.sources.tables import TableStore
 
@@ -111,7 +111,8 @@ def run_pipeline(spark: SparkSession, src_dir: str, store: TableStore, etl_ts: s
     # Size the shuffle width and the input splits from the input once; the
     # caller's settings come back at the end.
     source_bytes = sum(size for _, size in sources.values())
-    with kept_settings(spark, "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
+    with (kept_settings(spark, "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"),
+          scratch_folders(spark)):
         fit_shuffle_partitions(spark, source_bytes)
         fit_split_size(spark, source_bytes)
         try:

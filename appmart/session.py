@@ -220,4 +220,26 @@ def materialise_bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder for one run."""
     base = shared_dir(spark)
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    return os.path.join(base, *([scope] if scope else []), f"{label}-{uuid.uuid4().hex}")
+
+
+_SCOPE = "appmart.scratch"
+
+
+@contextlib.contextmanager
+def scratch_folders(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within go when it ends, those of its threads (``side_by_side``) too.
+
+    They lie in one folder of their own, which is removed by its exact path. What leaves the
+    block must be written elsewhere, not a plan over them.
+    """
+    sc = spark.sparkContext
+    before, scope = sc.getLocalProperty(_SCOPE), f"scratch-{uuid.uuid4().hex}"
+    sc.setLocalProperty(_SCOPE, scope)
+    try:
+        yield
+    finally:
+        sc.setLocalProperty(_SCOPE, before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), scope))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,8 +3,9 @@
 The test data has no app files, so each raw table is a projection (or, for
 engagement, an aggregation) of one event type. Values are chosen to
 exercise the key rules: mixed case and stray whitespace in package names,
-NULL versions, campaign names that differ only in case and spacing, codes
-without a country. Every adapter reads the whole ``events`` table, so its
+empty and missing packages, versions, users, dates and ratings, campaign names
+that differ only in case and spacing, codes without a country, fractions of
+three, seven and nine digits. Every adapter reads the whole ``events`` table, so its
 work grows with the data.
 """
 
@@ -26,29 +27,47 @@ def events(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFra
     return df if kind is None else df.where(F.col("event_type") == kind)
 
 
+def _on(every: int) -> Column:
+    """Every so many events; the numbers below are primes, so the odd cases also meet."""
+    return F.col("event_id") % every == 0
+
+
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
+
 def package_text() -> Column:
-    """Package name; every third event spells it with capitals and extra blanks."""
+    """Package name; every third event spells it with capitals and extra blanks, some with a tab,
+    some have an empty one or none."""
     app = _s(F.col("user_id") % 4)
-    return (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("  Com.App  "), app, F.lit(" ")))
+    return (F.when(_on(97), _none()).when(_on(89), F.lit("")).when(_on(83), F.concat(F.lit("com.app\t"), app))
+            .when(_on(3), F.concat(F.lit("  Com.App  "), app, F.lit(" ")))
             .otherwise(F.concat(F.lit("com.app "), app)))
 
 
 def version_text() -> Column:
-    """App version; NULL on every fiftieth event."""
-    return (F.when(F.col("event_id") % 50 == 0, F.lit(None).cast("string"))
+    """App version; none on every fiftieth event, an empty one on some."""
+    return (F.when(_on(50), _none()).when(_on(53), F.lit(""))
             .otherwise(F.concat(F.lit("1."), _s(F.col("user_id") % 3))))
 
 
+def user_text() -> Column:
+    """User; some events have none."""
+    return F.when(~_on(103), _s(F.col("user_id")))
+
+
 def day_text() -> Column:
-    return F.date_format("ts", "yyyy-MM-dd")
+    return F.when(~_on(107), F.date_format("ts", "yyyy-MM-dd"))
 
 
 def ts_utc_text() -> Column:
-    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+    return F.when(~_on(109), F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
 
 
 def ts_millis_utc_text() -> Column:
-    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" UTC"))
+    """Milliseconds; every second event writes them with nine digits, every fifth with seven."""
+    more = F.when(_on(2), F.lit("000000")).when(_on(5), F.lit("0000")).otherwise(F.lit(""))
+    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), more, F.lit(" UTC"))
 
 
 def engagement_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +95,7 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         package_text().alias("package_name"),
         (F.col("user_id") % 3).cast("double").alias("app_version_code"),
         version_text().alias("app_version_name"),
-        (F.col("event_id") % 5 + 1).alias("star_rating"),
+        F.when(~_on(61), F.col("event_id") % 5 + 1).alias("star_rating"),
         ts_utc_text().alias("date"),
         package_text().alias("package"),
     ), RAW_SCHEMAS["app_ratings"])
@@ -87,7 +106,7 @@ def installs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     signups = events(spark, sf_dir, "signup")
     return conform(signups.select(
         package_text().alias("package"),
-        _s(F.col("user_id")).alias("user_id"),
+        user_text().alias("user_id"),
         F.concat(F.lit("fp"), _s(F.col("event_id") % 8)).alias("firebase_partition"),
         F.concat(F.lit("brand_"), _s(F.col("user_id") % 6)).alias("mobile_brand_name"),
         F.concat(F.lit("model_"), _s(F.col("user_id") % 11)).alias("mobile_marketing_name"),
@@ -107,7 +126,7 @@ def trials_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_utc_text().alias("installTimestamp"),
         ts_millis_utc_text().alias("purchaseTimestamp"),
         package_text().alias("packageName"),
-        _s(F.col("user_id")).alias("userID"),
+        user_text().alias("userID"),
         F.concat(F.lit("sku"), _s(F.col("event_id") % 7)).alias("sku"),
         _s(F.col("event_id")).alias("orderID"),
         F.concat(F.lit("tok"), _s(F.col("event_id"))).alias("purchaseToken"),

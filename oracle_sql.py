@@ -27,7 +27,8 @@ def ts_of_text(x: str) -> str:
 
 
 def ts_ms_of_text(x: str) -> str:
-    return f"strptime({x}, '%Y-%m-%d %H:%M:%S.%g UTC')"
+    """The digits after the third are zeros."""
+    return rf"strptime(regexp_replace({x}, '(\.[0-9]{{3}})0+ ', '\1 '), '%Y-%m-%d %H:%M:%S.%g UTC')"
 
 
 def day_of_ts_text(x: str) -> str:
@@ -53,14 +54,21 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
     CTES[name] = (deps, body)
 
 
-cte("ev", (), """
+cte("ev", (), r"""
   SELECT event_id, ts, user_id, event_type, value, props,
-    CASE WHEN event_id % 3 = 0 THEN '  Com.App  ' || CAST(user_id % 4 AS VARCHAR) || ' '
+    CASE WHEN event_id % 97 = 0 THEN NULL
+         WHEN event_id % 89 = 0 THEN ''
+         WHEN event_id % 83 = 0 THEN 'com.app' || chr(9) || CAST(user_id % 4 AS VARCHAR)
+         WHEN event_id % 3 = 0 THEN '  Com.App  ' || CAST(user_id % 4 AS VARCHAR) || ' '
          ELSE 'com.app ' || CAST(user_id % 4 AS VARCHAR) END AS pkg,
-    CASE WHEN event_id % 50 = 0 THEN NULL ELSE '1.' || CAST(user_id % 3 AS VARCHAR) END AS ver,
-    strftime(ts, '%Y-%m-%d') AS day_s,
-    strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS tsu,
-    strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || ' UTC' AS tsm
+    CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 53 = 0 THEN ''
+         ELSE '1.' || CAST(user_id % 3 AS VARCHAR) END AS ver,
+    CASE WHEN event_id % 103 <> 0 THEN CAST(user_id AS VARCHAR) END AS uid,
+    CASE WHEN event_id % 61 <> 0 THEN CAST(event_id % 5 + 1 AS BIGINT) END AS stars,
+    CASE WHEN event_id % 107 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day_s,
+    CASE WHEN event_id % 109 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' END AS tsu,
+    strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || CASE WHEN event_id % 2 = 0 THEN '000000'
+      WHEN event_id % 5 = 0 THEN '0000' ELSE '' END || ' UTC' AS tsm
   FROM events""")
 
 cte("raw_engagement", ("ev",), """
@@ -76,12 +84,12 @@ cte("raw_engagement", ("ev",), """
 
 cte("raw_ratings", ("ev",), """
   SELECT pkg AS package_name, CAST(user_id % 3 AS DOUBLE) AS app_version_code,
-         ver AS app_version_name, CAST(event_id % 5 + 1 AS BIGINT) AS star_rating,
+         ver AS app_version_name, stars AS star_rating,
          tsu AS date, pkg AS package
   FROM ev WHERE event_type = 'view'""")
 
 cte("raw_installs", ("ev",), """
-  SELECT pkg AS package, CAST(user_id AS VARCHAR) AS user_id,
+  SELECT pkg AS package, uid AS user_id,
          'fp' || CAST(event_id % 8 AS VARCHAR) AS firebase_partition,
          'brand_' || CAST(user_id % 6 AS VARCHAR) AS mobile_brand_name,
          'model_' || CAST(user_id % 11 AS VARCHAR) AS mobile_marketing_name,
@@ -93,7 +101,7 @@ cte("raw_installs", ("ev",), """
 
 cte("raw_trials", ("ev",), """
   SELECT tsu AS installTimestamp, tsm AS purchaseTimestamp, pkg AS packageName,
-         CAST(user_id AS VARCHAR) AS userID, 'sku' || CAST(event_id % 7 AS VARCHAR) AS sku,
+         uid AS userID, 'sku' || CAST(event_id % 7 AS VARCHAR) AS sku,
          CAST(event_id AS VARCHAR) AS orderID, 'tok' || CAST(event_id AS VARCHAR) AS purchaseToken,
          value AS fcmToken, ver AS version, pkg AS package
   FROM ev WHERE event_type = 'purchase'""")
@@ -457,6 +465,26 @@ SELECT DISTINCT date, campaign, country,
        {camp_key(day_of_date('date'), 'campaign', 'country')} AS hash_key
 FROM raw_spend"""
 
+    q["app_user_key_all"] = with_ctes("keyed_engagement", "keyed_ratings", "keyed_installs", "keyed_trials") + (
+        "\nUNION ALL\n".join(
+            f"SELECT DISTINCT '{t}' AS source, package, {d} AS date, {v} AS version, app_k AS hash_key FROM {c}"
+            for t, c, d, v in [("package_engagement_metrics", "keyed_engagement", "date", "version"),
+                               ("app_ratings", "keyed_ratings", "date", "app_version_name"),
+                               ("user_installs", "keyed_installs", "date", "version"),
+                               ("user_subscription_trials", "keyed_trials", "installTimestamp", "version")]))
+
+    q["campaign_key_all"] = with_ctes("keyed_installs", "keyed_spend") + "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{t}' AS source, date, campaign, country, camp_k AS hash_key FROM {c}"
+        for t, c in [("user_installs", "keyed_installs"), ("ua_campaign_spendings", "keyed_spend")])
+
+    texts = [("package", c) for c in ("raw_engagement", "raw_ratings", "raw_installs", "raw_trials", "raw_config")]
+    texts += [(x, c) for x in ("campaign", "country") for c in ("raw_installs", "raw_spend")]
+    q["fn_text_all"] = with_ctes(*RAW_CTE.values()) + rf"""
+SELECT DISTINCT t, lower(t) AS lowered, regexp_replace(t, '[\t\n\f\r ]+', ' ', 'g') AS squeezed, trim(t) AS trimmed,
+       {norm('t')} AS normalized, md5({norm('t')}) AS digest,
+       CASE WHEN t IS NULL THEN NULL ELSE t || '|' || lower(t) END AS strict_concat, coalesce(t, 'none') AS present
+FROM ({" UNION ALL ".join(f"SELECT {x} AS t FROM {c}" for x, c in texts)})"""
+
     for key, name in [("app_user_mapping", "app_dim"), ("date_campaign_country_mapping", "camp_dim"),
                       ("app_engagement_metrics", "f_engagement"), ("app_rating", "f_rating"),
                       ("user_installs", "f_installs"), ("user_subscription_trials", "f_trials"),

@@ -199,6 +199,20 @@ def test_the_callers_settings_come_back(spark, run, tmp_path, monkeypatch):
     assert int(inside[0]) > int(before[0]) and [spark.conf.get(k) for k in keys] == before
 
 
+def test_a_run_leaves_no_scratch_folder(spark, run, tmp_path):
+    from appmart.session import materialise, run_dir, scratch_folders, shared_dir, side_by_side
+    base = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    run_pipeline(spark, run[2], TableStore(spark, str(tmp_path / "wh")), etl_ts=ETL)
+    assert set(os.listdir(base)) == before
+    with scratch_folders(spark):
+        stored = side_by_side(spark, {n: (lambda n=n: materialise(spark.range(n), "x")) for n in (3, 4)})
+        assert [stored[n].count() for n in (3, 4)] == [3, 4]
+        inside = set(os.listdir(base)) - before
+        assert len(inside) == 1 and len(os.listdir(os.path.join(base, *inside))) == 2
+    assert set(os.listdir(base)) == before and "/scratch-" not in run_dir(spark, "y")
+
+
 def test_qualify_names():
     assert qualify("analytics.t", "data") == ("analytics", "t")
     assert qualify("t", "data") == ("data", "t")
