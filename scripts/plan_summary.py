@@ -2,8 +2,9 @@
 
 For each query: shuffles (hash-partitioning exchanges), broadcast and
 sort-merge joins, aggregates, Parquet scans with pushed filters, and any
-Cartesian / nested-loop join or Python evaluation. Writes a Markdown table.
-Usage: python scripts/plan_summary.py [sf_dir] > PLANS.md
+Cartesian / nested-loop join or Python evaluation. Writes two Markdown tables: the plans with all size checks
+passed, and those beyond the bounds (every size check fails) of the queries that differ.
+Usage: python scripts/plan_summary.py [sf_dir] > tables.md
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from appmart import catalog  # noqa: E402
+from appmart.operators import joins, quality  # noqa: E402
 from appmart.session import build_session  # noqa: E402
 
 
@@ -31,23 +33,36 @@ def summarise(plan: str) -> dict[str, int]:
     }
 
 
-def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", 8)
-    rows = []
-    for key, build in entry.queries().items():
+def plans(spark, sf_dir: str) -> dict[str, dict[str, int]]:
+    found = {}
+    for key, build in catalog.registry().items():
         df = build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         # The plan chosen at planning time (the write above runs its own copy,
         # so this is the initial plan inside AdaptiveSparkPlan, before AQE).
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        rows.append((key, summarise(plan)))
-    cols = list(rows[0][1])
+        found[key] = summarise(df._jdf.queryExecution().executedPlan().toString())
+    return found
+
+
+def table(found: dict[str, dict[str, int]]) -> None:
+    cols = list(next(iter(found.values())))
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for key, s in rows:
+    for key, s in found.items():
         print(f"| {key} | " + " | ".join(str(s[c]) for c in cols) + " |")
 
 
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session("local[8]", 8)
+    within = plans(spark, sf_dir)
+    table(within)
+    joins.fits = lambda *a, **k: False
+    quality.fits = joins.fits
+    beyond = plans(spark, sf_dir)
+    print()
+    table({k: v for k, v in beyond.items() if v != within[k]})
+
+
 if __name__ == "__main__":
     main()
