@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 #: Fixed values of HTML: elements without content, with raw text, that break lines, and what ends what.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +59,12 @@ class Page:
     def _parse(self, source: str) -> None:
         stack, block, at, end = [0], 0, 0, len(source)
         tags = self.tag
+        # Open elements by tag: the stack is searched only for what it holds, however deep it is.
+        opened: Counter[str] = Counter()
+
+        def close(first: int) -> None:
+            opened.subtract(tags[i] for i in stack[first:])
+            del stack[first:]
         while at < end:
             found = _MARK.search(source, at)
             stop = found.start() if found else end
@@ -72,26 +79,27 @@ class Page:
             tag = found.group(2).lower()
             if found.group(1):
                 block += tag in BLOCK
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                     if tags[stack[i]] == tag:
                         if tag in BLOCK:
-                            del stack[i:]
+                            close(i)
                         else:  # an inline end leaves blocks opened inside it open
                             del stack[i]
+                            opened[tag] -= 1
                         break
                 continue
             block += tag in BLOCK
-            if tag in ENDS_P:
+            if tag in ENDS_P and opened["p"] > 0:
                 for i in range(len(stack) - 1, 0, -1):
                     if tags[stack[i]] == "p":
-                        del stack[i:]
+                        close(i)
                         break
                     if tags[stack[i]] in ("td", "th", "table", "button"):
                         break
-            if tag in ENDS_SAME:
+            if tag in ENDS_SAME and any(opened[t] > 0 for t in ENDS_SAME[tag]):
                 for i in range(len(stack) - 1, 0, -1):
                     if tags[stack[i]] in ENDS_SAME[tag]:
-                        del stack[i:]
+                        close(i)
                         break
                     if tags[stack[i]] in SCOPES[tag]:
                         break
@@ -101,9 +109,8 @@ class Page:
                 continue
             self._open(stack, tag, found.group(3))
             if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = close.end() if close else end
-            elif not found.group(3).endswith("/"):
-                stack.append(len(tags) - 1)
-            elif tag in BLOCK:  # "<div/>" is just "<div>" in HTML
+                over = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = over.end() if over else end
+            elif not found.group(3).endswith("/") or tag in BLOCK:  # "<div/>" is just "<div>" in HTML
                 stack.append(len(tags) - 1)
+                opened[tag] += 1
