@@ -9,7 +9,8 @@ in a prefix list. Two relations among sets keep the lists from being paired out:
   only sizes within the ratio can match; lists are cut into blocks by size
   and position, and block pairs that cannot qualify are never opened.
 * Answer skipping. A long list is answered for its leader first (the entry
-  that meets the token earliest). A set close to a leader is anchored to it
+  with fewest rare shingles, as a rule the text that the others vary, and the
+  same one in all lists of its near copies). A set close to a leader is anchored to it
   and keeps only its difference. For two sets with the same anchor the
   overlap follows from the leader's answer and the two differences, so such
   pairs leave the lists and are found by a prefix join on the differences;
@@ -49,7 +50,9 @@ MAX_COMMON = 2_000_000
 #: Lists up to this length are paired out, longer ones answered through leaders.
 SHORT_LIST = 16
 #: A set is anchored to a leader with at least this similarity.
-ANCHOR_PERCENT = 70
+ANCHOR_PERCENT = 50
+#: Sets with one anchor, from this number on, are kept apart by size of difference as well.
+LARGE_ANCHOR = 64
 _SIGN = np.uint64(1 << 63)
 
 
@@ -121,17 +124,25 @@ def _in_order(members: np.ndarray, common: np.ndarray, weight: np.ndarray, count
     return members[np.lexsort((members, rank, members >> np.uint64(62)))[:count]]
 
 
+def _rare(members: np.ndarray, common: np.ndarray) -> int:
+    """Shingles of the first quarter of the hash range that are not common."""
+    quarter = members[:np.searchsorted(members, np.uint64(1 << 62))]
+    return len(quarter) - len(np.intersect1d(quarter, common, assume_unique=True))
+
+
 def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document: doc_id, text_key, n, node, sketch and prefix (the set's first entries in the global order); stored."""
+    """Per document: doc_id, text_key, n, node, rare (see _rare), sketch and prefix (the set's first entries in the
+    global order); stored."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, weight = shared.value
         for batch in batches:
-            size, node, sketch, prefix = [], [], [], []
+            size, node, rare, sketch, prefix = [], [], [], [], []
             for s in _sets(batch.column(1), k):
                 size.append(len(s))
                 node.append(_node_id(s) if len(s) else None)
+                rare.append(_rare(s, common))
                 sketch.append(_sketch(s) if len(s) else None)
                 first = _in_order(s, common, weight, prefix_length(len(s), percent)) if len(s) else s
                 prefix.append(pa.array(_signed(first)))
@@ -140,9 +151,11 @@ def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 pa.array([], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(sketch, pa.binary()), lists], ["doc_id", "text_key", "n", "node", "sketch", "prefix"])
+                 pa.array(rare, pa.int64()), pa.array(sketch, pa.binary()), lists],
+                ["doc_id", "text_key", "n", "node", "rare", "sketch", "prefix"])
     return materialise(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(
-        index, "doc_id long, text_key binary, n long, node binary, sketch binary, prefix array<long>"), "jaccard-docs")
+        index, "doc_id long, text_key binary, n long, node binary, rare long, sketch binary, prefix array<long>"),
+        "jaccard-docs")
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -227,7 +240,10 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> tuple[Data
 
     Every similar pair is either in the first or has one anchor.
     """
-    entries = nodes.select("nid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    # A set without rare shingles lies in the middle of its near copies; sets with many copies come first among such.
+    place = F.struct("rare", (-F.col("copies")).alias("copies"), "n", "nid")
+    entries = nodes.select("nid", F.col("n").cast("int").alias("n"), "rare", "copies",
+                           F.posexplode("prefix").alias("pos", "token"))
     # Most tokens have a single entry: only their counts move, then the entries of the others are kept.
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("len")).filter("len > 1")
     live = materialise(entries.join(lists, "token"), "jaccard-lists")
@@ -244,7 +260,7 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> tuple[Data
 
     # Long lists: every entry against the leader, kept if close enough to be anchored.
     long = live.filter(F.col("len") > SHORT_LIST)
-    leads = long.groupBy("token").agg(F.min(F.struct("pos", "n", "nid")).alias("lead"))
+    leads = long.groupBy("token").agg(F.min(place).alias("lead"))
     led = long.join(leads, "token").filter(F.col("nid") != F.col("lead.nid")).filter(
         100 * F.least("n", "lead.n") >= ANCHOR_PERCENT * F.greatest("n", "lead.n"))
     led = _unpromising_dropped(led.select(F.col("nid").alias("a"), F.col("lead.nid").alias("b")).distinct(),
@@ -269,29 +285,47 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> tuple[Data
     return others, anchored
 
 
-def _same_anchor_links(anchored: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs with one anchor of which at least one is not linked to it, from the differences alone.
+def _most_apart(n: Column, percent: int) -> Column:
+    """Most entries by which similar sets of ``n`` entries together differ."""
+    return F.floor(n * (100 - percent) / F.lit(100.0 + percent) + 1e-9)
+
+
+def _same_anchor_links(anchored: DataFrame, percent: int, linked_ones: bool) -> DataFrame:
+    """Similar pairs (a, b) with one anchor that are not sure (see _sure), from the differences alone; pairs of which
+    both are linked to the anchor only if ``linked_ones``.
 
-    |x ^ y| = |Dx ^ Dy| for differences to the same anchor, so the pair needs
-    (|Dx| + |Dy| - H) / 2 shared entries, H being the most that similar sets
-    of these sizes differ by: a prefix join again, keyed by anchor and entry.
-    Pairs that need none lie within a few entries of the anchor; a sentinel
-    entry brings those together.
+    |x ^ y| = |Dx ^ Dy| for differences to the same anchor, so the pair needs s = (|Dx| + |Dy| - H) / 2 shared
+    entries, H being the most that similar sets of these sizes differ by: a prefix join again, keyed by anchor and
+    entry, in which x brings its first |Dx| - s + 1 entries, those that the anchor lacks first. A set that is not
+    linked to the anchor is sure of none, so s is never below one.
+
+    One prefix for partners of all sizes would have to hold nearly all of a difference, also the entries lost from
+    the anchor, which the sets of a large anchor share by the hundred. There differences are cut into bands by size,
+    and a set brings a prefix of its own to each band it can have partners in; sets of like size need but the first
+    half of their differences.
     """
-    most = F.floor(F.col("n") * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
-    size = F.size("diff").cast("long")
-    take = size - F.greatest(size - most, F.lit(1)) + 1
-    keys = F.concat(F.slice("diff", F.lit(1), F.greatest(take, F.lit(0)).cast("int")),
-                    F.when((size <= 3) | (~F.col("linked") & (size <= most + 2)), F.array(F.lit(0).cast("long")))
-                    .otherwise(F.array().cast("array<long>")))
-    rows = anchored.select("nid", "anchor", "n", "linked", size.alias("d"), F.explode(keys).alias("key"))
-    loose = rows.filter(~F.col("linked")).alias("x")
-    every = rows.alias("y")
-    pairs = loose.join(every, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.key") == F.col("y.key"))
-                       & (F.col("y.linked") | (F.col("x.nid") < F.col("y.nid")))
-                       & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                       & (F.abs(F.col("x.d") - F.col("y.d")) * (100 + percent)
-                          <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    rows = anchored.select("nid", "anchor", "n", "linked", F.size("diff").cast("long").alias("d"), "diff")
+    groups = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"), F.max("n").alias("top"))
+    quarter = F.greatest(F.floor(_most_apart(2 * F.col("top"), percent) / 4), F.lit(1))
+    rows = rows.join(groups.filter("members > 1").select("anchor", "top", F.when(
+        F.col("members") >= LARGE_ANCHOR, quarter).otherwise(F.lit(1 << 40)).alias("width")), "anchor")
+    most = _most_apart(F.col("n") + F.least("top", F.floor(F.col("n") * 100 / F.lit(percent))), percent)
+    rows = rows.withColumn("most", most).withColumn("least", F.greatest(F.col("d") - F.col("most"), F.lit(0)))
+    rows = rows.withColumn("own", F.floor(F.col("d") / F.col("width"))).withColumn("other", F.explode(F.sequence(
+        F.floor(F.col("least") / F.col("width")), F.floor((F.col("d") + F.col("most")) / F.col("width")))))
+    partner = F.greatest(F.col("other") * F.col("width"), F.col("least"))
+    share = F.greatest(F.ceil((F.col("d") + partner - F.col("most")) / 2), F.lit(1))
+    keys = rows.select("nid", "anchor", "n", "linked", "d", "own", "other", F.posexplode(F.slice(
+        "diff", F.lit(1), F.greatest(F.col("d") - share + 1, F.lit(0)).cast("int"))).alias("pos", "key"))
+    x, y = (keys if linked_ones else keys.filter(~F.col("linked"))).alias("x"), keys.alias("y")
+    once = F.col("x.nid") < F.col("y.nid")
+    both = F.col("x.d") + F.col("y.d") - _most_apart(F.col("x.n") + F.col("y.n"), percent)
+    pairs = x.join(y, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.key") == F.col("y.key"))
+                   & (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
+                   & (once if linked_ones else once | F.col("y.linked"))
+                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                   & (F.abs(F.col("x.d") - F.col("y.d")) <= _most_apart(F.col("x.n") + F.col("y.n"), percent))
+                   & (both > 0) & (2 * F.least(F.col("x.d") - F.col("x.pos"), F.col("y.d") - F.col("y.pos")) >= both))
     pairs = pairs.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
     side = anchored.select("nid", "n", "diff")
     wide = pairs.join(side.toDF("a", "na", "da"), "a").join(side.toDF("b", "nb", "db"), "b")
@@ -305,18 +339,18 @@ def _sure(percent: int, x: str, y: str) -> Column:
     return _similar(percent, f"{x}.n", f"{y}.n", (n - F.col(f"{x}.d") - F.col(f"{y}.d")) / 2)
 
 
-def link_counts(pairs: DataFrame, anchored: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def link_counts(pairs: DataFrame, same: DataFrame, anchored: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(nid, others): for each node with links, the rows of all other nodes similar to it.
 
-    ``pairs`` and ``anchored`` are those of links(); ``nodes`` has nid and copies. Pairs with one anchor are answered
-    from their differences: sure ones by counts per size of set and difference, the rest by a join on shared entries.
+    ``pairs`` and ``anchored`` are those of links(), ``same`` all pairs of _same_anchor_links; ``nodes`` has nid and
+    copies. Sure pairs with one anchor are counted per size of set and difference.
     """
     copies = nodes.select("nid", "copies")
     own = anchored.select("nid", "anchor")
     apart = (_ordered_pairs(pairs).join(own.toDF("a", "anchor_a"), "a", "left").join(own.toDF("b", "anchor_b"), "b", "left")
              .filter("anchor_a is null or anchor_b is null or anchor_a != anchor_b").select("a", "b"))
     sized = materialise(anchored.join(copies, "nid").select(
-        "nid", "anchor", "n", F.size("diff").cast("long").alias("d"), "copies", "diff"), "jaccard-sized")
+        "nid", "anchor", "n", F.size("diff").cast("long").alias("d"), "copies"), "jaccard-sized")
     kinds = materialise(sized.groupBy("anchor", "n", "d").agg(F.sum("copies").alias("rows")), "jaccard-kinds")
     x, y = kinds.alias("x"), kinds.alias("y")
     near = x.join(y, F.col("x.anchor") == F.col("y.anchor")).filter(_sure(percent, "x", "y")).groupBy(
@@ -327,23 +361,6 @@ def link_counts(pairs: DataFrame, anchored: DataFrame, nodes: DataFrame, percent
     sure = sized.join(near, ["anchor", "n", "d"]).select(
         "nid", (F.col("rows") - F.when(itself, F.col("copies")).otherwise(0)).alias("others"))
 
-    # Pairs that are not sure must share an entry among the first of their differences.
-    most = F.floor(F.col("n") * (1 + 100 / percent) * (100 - percent) / (100 + percent)) + 1
-    take = F.col("d") - F.greatest(F.col("d") - most, F.lit(1)) + 1
-    rows = sized.select("nid", "anchor", "n", "d", F.explode(
-        F.slice("diff", F.lit(1), F.greatest(take, F.lit(0)).cast("int"))).alias("key"))
-    x, y = rows.alias("x"), rows.alias("y")
-    open_ = x.join(y, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.key") == F.col("y.key"))
-                   & (F.col("x.nid") < F.col("y.nid"))
-                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                   & (F.abs(F.col("x.d") - F.col("y.d")) * (100 + percent)
-                      <= (F.col("x.n") + F.col("y.n")) * (100 - percent))).filter(~_sure(percent, "x", "y"))
-    open_ = open_.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
-    side = sized.select("nid", "n", "diff")
-    wide = open_.join(side.toDF("a", "na", "da"), "a").join(side.toDF("b", "nb", "db"), "b")
-    gap = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
-    same = wide.filter(_similar(percent, overlap=(F.col("na") + F.col("nb") - gap) / 2)).select("a", "b")
-
     both = materialise(apart.unionByName(same), "jaccard-links")
     ends = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
     met = ends.join(copies.toDF("b", "copies"), "b").select(F.col("a").alias("nid"), F.col("copies").alias("others"))
@@ -392,19 +409,20 @@ def similar_components(docs: DataFrame, k: int, percent: int, count_links: bool
     indexed = index_documents(docs, k, percent)
     nodes = materialise(indexed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+        F.first("rare").alias("rare"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
         .withColumn("nid", F.monotonically_increasing_id()), "jaccard-nodes")
     pairs, anchored = links(docs, nodes, k, percent)
+    same = _same_anchor_links(anchored, percent, linked_ones=count_links)
     if count_links:
-        pairs = materialise(pairs, "jaccard-similar")
-    roots = components(pairs.unionByName(_same_anchor_links(anchored, percent))).withColumnRenamed("node", "nid")
+        pairs, same = materialise(pairs, "jaccard-similar"), materialise(same, "jaccard-same-anchor")
+    roots = components(pairs.unionByName(same)).withColumnRenamed("node", "nid")
     labelled = nodes.select("node", "nid", "least", "copies").join(roots, "nid", "left").withColumn(
         "root", F.coalesce("root", "nid"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = labelled.join(least, "root")
     counted = []
     if count_links:
-        by_node = by_node.join(link_counts(pairs, anchored, nodes, percent), "nid", "left").withColumn(
+        by_node = by_node.join(link_counts(pairs, same, anchored, nodes, percent), "nid", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
         counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
     by_node = by_node.select("node", "root", "component_id", *(["n_links"] if count_links else []))

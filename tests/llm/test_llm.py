@@ -76,16 +76,18 @@ def test_words_are_the_split_of_lowered_bytes():
     assert len(set(hashes.tolist())) == len(set(flat)) and len(hashes) == len(flat)
 
 
-@pytest.mark.parametrize("short", [16, 1])
-def test_jaccard_components_equal_brute_force(spark, odd_docs, monkeypatch, short):
+@pytest.mark.parametrize("short, large", [(16, 64), (1, 1 << 40), (1, 2)])
+def test_jaccard_components_equal_brute_force(spark, odd_docs, monkeypatch, short, large):
+    monkeypatch.setattr(ngram_jaccard, "LARGE_ANCHOR", large)  # 2: every anchor's differences are cut into bands
     monkeypatch.setattr(ngram_jaccard, "SHORT_LIST", short)  # 1: every list goes through leaders and anchors
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = ngram_jaccard.similar_components(odd_docs, 3, 90).collect()
     assert Counter((r["doc_id"], r["n"], r["component_id"]) for r in got) == _components(rows, 3, 90)
 
 
-@pytest.mark.parametrize("short", [16, 1])
-def test_jaccard_links_equal_brute_force(spark, odd_docs, monkeypatch, short):
+@pytest.mark.parametrize("short, large", [(16, 64), (1, 1 << 40), (1, 2)])
+def test_jaccard_links_equal_brute_force(spark, odd_docs, monkeypatch, short, large):
+    monkeypatch.setattr(ngram_jaccard, "LARGE_ANCHOR", large)  # 2: every anchor's differences are cut into bands
     monkeypatch.setattr(ngram_jaccard, "SHORT_LIST", short)
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     sets = [frozenset(tuple(w[j:j + 3]) for j in range(max(1, len(w) - 2))) if (w := _words(t)) else None for _, t in rows]
