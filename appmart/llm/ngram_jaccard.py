@@ -115,23 +115,23 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], np.log2(rows["n"].to_numpy(np.float64)[order]).astype(np.int8)
 
 
-def _in_order(members: np.ndarray, common: np.ndarray, weight: np.ndarray, count: int) -> np.ndarray:
-    """The first ``count`` of a sorted set in the global order: by quarter of the hash range, then how common, then hash."""
-    if not len(common):
-        return members[:count]
-    at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-    rank = np.where(common[at] == members, weight[at], 0).astype(np.int64)
-    return members[np.lexsort((members, rank, members >> np.uint64(62)))[:count]]
-
-
-def _rare(members: np.ndarray, common: np.ndarray) -> int:
-    """Shingles of the first quarter of the hash range that are not common."""
+def _in_order(members: np.ndarray, common: np.ndarray, weight: np.ndarray, count: int) -> tuple[np.ndarray, int]:
+    """The first ``count`` of a sorted set in the global order, by quarter of the hash range, then how common, then
+    hash; and how many of its first quarter are not common. Common ones are known of the first quarter only, so the
+    others are in order already."""
     quarter = members[:np.searchsorted(members, np.uint64(1 << 62))]
-    return len(quarter) - len(np.intersect1d(quarter, common, assume_unique=True))
+    if not len(common) or not len(quarter):
+        return members[:count], len(quarter)
+    at = np.minimum(np.searchsorted(common, quarter), len(common) - 1)
+    known = common[at] == quarter
+    rank = np.where(known, weight[at], 0)
+    first = quarter[np.argsort(rank, kind="stable")]
+    rare = len(quarter) - int(np.count_nonzero(known))
+    return np.concatenate([first, members[len(quarter):max(count, len(quarter))]])[:count], rare
 
 
 def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document: doc_id, text_key, n, node, rare (see _rare), sketch and prefix (the set's first entries in the
+    """Per document: doc_id, text_key, n, node, rare (see _in_order), sketch and prefix (the set's first entries in the
     global order); stored."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k))
 
@@ -142,9 +142,9 @@ def index_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
             for s in _sets(batch.column(1), k):
                 size.append(len(s))
                 node.append(_node_id(s) if len(s) else None)
-                rare.append(_rare(s, common))
                 sketch.append(_sketch(s) if len(s) else None)
-                first = _in_order(s, common, weight, prefix_length(len(s), percent)) if len(s) else s
+                first, few = _in_order(s, common, weight, prefix_length(len(s), percent) if len(s) else 0)
+                rare.append(few)
                 prefix.append(pa.array(_signed(first)))
             lengths = np.cumsum([0] + [len(p) for p in prefix]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(lengths), pa.concat_arrays(prefix)) if prefix else \
