@@ -22,9 +22,10 @@ DEFAULT_BROADCAST_ROWS = 500_000
 # Bytes its values may have, as rows of long texts can be few and large.
 DEFAULT_BROADCAST_BYTES = 64 << 20
 # Rows of either side in a block of the NULL-key branch: left rows that are
-# eligible, and NULL-key rows.
+# eligible, and NULL-key rows; and about the most pairs that a block makes.
 ELIGIBLE_CHUNK_ROWS = 100_000
-ORPHAN_BUCKET_ROWS = 100_000
+ORPHAN_BUCKET_ROWS = 2_048
+BLOCK_PAIRS = 1 << 22
 # Keys that a spread join watches for heavy ones, and those it may salt.
 SKETCH_ITEMS, HEAVY_KEYS = 4096, 1024
 
@@ -132,9 +133,11 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
       NULL-key rows, as an equi-join on the two chunk numbers, so each pair
       meets once and a task holds a part of either side. Both sides are
       numbered and stored once: the number of chunks follows their counts, so
-      a chunk never grows with the data; equal rows spread; and a recomputed
-      task sees the same chunks. One chunk (broadcast) suffices when the
-      NULL-key rows fit the bound.
+      neither a chunk nor a block's pairs grow with the data; equal rows
+      spread; and a recomputed task sees the same chunks. The blocks are dealt
+      by their number, as the few bytes of their rows say nothing of the pairs
+      and would be merged into few tasks. One chunk (broadcast) suffices when
+      the NULL-key rows fit the bound.
 
     Returns ``(joined, had_null_keys)``; with NULL keys present, rows of the
     two branches may coincide, so callers that need set semantics dedupe.
@@ -156,10 +159,15 @@ def join_coalesce_fallback(left: DataFrame, right: DataFrame, left_key: str, rig
             F.broadcast(orphans.withColumn("_all", F.lit(0))), "_all", "inner").drop("_all")
         return matched.unionByName(paired), True
     right_rows, right_chunks = _in_chunks(orphans, "_rc", ORPHAN_BUCKET_ROWS, "orphan-rows")
-    left_rows, left_chunks = _in_chunks(eligible, "_lc", ELIGIBLE_CHUNK_ROWS, "eligible-rows")
+    per_chunk = max(1, -(-right_rows.count() // right_chunks))
+    left_rows, left_chunks = _in_chunks(eligible, "_lc", min(ELIGIBLE_CHUNK_ROWS, max(1, BLOCK_PAIRS // per_chunk)),
+                                        "eligible-rows")
     right_rows = right_rows.withColumn("_lc", F.explode(F.sequence(F.lit(0), F.lit(left_chunks - 1))))
     left_rows = left_rows.withColumn("_rc", F.explode(F.sequence(F.lit(0), F.lit(right_chunks - 1))))
-    paired = left_rows.join(right_rows, ["_lc", "_rc"], "inner").drop("_lc", "_rc")
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(left_chunks * right_chunks, width)
+    paired = left_rows.repartition(tasks, "_lc", "_rc").join(
+        right_rows.repartition(tasks, "_lc", "_rc"), ["_lc", "_rc"], "inner").drop("_lc", "_rc")
     return matched.unionByName(paired), True
 
 

@@ -209,6 +209,18 @@ def test_join_coalesce_fallback_spreads_equal_rows_of_both_sides(spark, monkeypa
     assert sum(shares) == 120 * 400 and max(shares) < 120 * 400 / 2
 
 
+def test_join_coalesce_fallback_makes_its_pairs_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK_PAIRS", 10_000, raising=False)
+    left = spark.range(3000).selectExpr("'k' as lk", "'k' as fb", "id as lid")
+    right = spark.range(300).selectExpr("cast(null as string) as rk", "id as rid")
+    got, _ = ops.join_coalesce_fallback(left, right, "lk", "rk", F.col("fb"), max_broadcast_rows=0)
+    found = got.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("lid", "rid").alias("kinds")).collect()
+    # Both sides are far below a chunk and a few bytes only; their 900,000 pairs are many.
+    assert sum(r["n"] for r in found) == sum(r["kinds"] for r in found) == 900_000
+    assert max(r["n"] for r in found) <= 300_000
+
+
 def test_chunks_follow_the_row_count(spark):
     for rows_, chunks in ((0, 1), (10, 1), (11, 2), (95, 10)):
         df, n = joins._in_chunks(spark.range(rows_), "_c", 10, "chunks")
