@@ -213,8 +213,9 @@ def q_etl_stamp(i: Inputs) -> DataFrame:
 def _pipeline_run(i: Inputs, etl_ts: str | None) -> TableStore:
     """The full pipeline over CSVs of the raw tables, in a fresh run folder."""
     root = run_dir(i.spark, "pipeline")
-    for name in RAW_SCHEMAS:
-        write_csv(i.raw(name), f"{root}/sources/{name}.csv")
+    # One source after the other would leave the cluster idle: a write has few tasks, one per split of the events.
+    side_by_side(i.spark, {name: (lambda n=name: write_csv(i.raw(n), f"{root}/sources/{n}.csv"))
+                           for name in RAW_SCHEMAS})
     store = TableStore(i.spark, root + "/warehouse")
     run_pipeline(i.spark, f"{root}/sources", store, etl_ts=etl_ts, dag_execution_date=DAG_EXECUTION_DATE)
     return store

@@ -12,7 +12,7 @@ they are, all of them. Statistics rows and key checks are kept by run: a run tha
 repeated for the same scheduler date replaces its rows.
 
 Steps of one stage (the raw loads; the keyed copies; the two dimensions; the five
-facts; the two marts) are independent and are submitted from a few driver threads,
+facts; the two marts; statistics and key checks) are independent and are submitted from a few driver threads,
 so Spark schedules their jobs side by side and small tables do not leave the
 cluster idle.
 """
@@ -33,7 +33,7 @@ from appmart.plans import keyed as ky
 from appmart.plans.stats import load_statistics
 from appmart.schemas import (KEY_CHECKS_SCHEMA, KEY_CHECKS_TABLE, MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE, STATISTICS_SCHEMA, raw_schema, stamped)
-from appmart.session import fit_shuffle_partitions, fit_split_size, kept_settings, scratch_folders, side_by_side
+from appmart.session import R, fit_shuffle_partitions, fit_split_size, kept_settings, scratch_folders, side_by_side
 from appmart.sources.csv import discover_sources, read_csv
 from appmart.sources.tables import TableStore
 
@@ -79,13 +79,13 @@ class Run:
 
     def publish(self, db_mart: str, mart: Mapping[str, DataFrame]) -> None:
         """Statistics and key checks, then one switch of everything."""
-        for (db, table), rows in self.statistics.items():
-            self.keep(rows, db, table)
-        found = checks.key_checks(mart, self.etl_ts, self.dag_execution_date)
-        self.keep([found], db_mart, KEY_CHECKS_TABLE)
+        steps = {f"{db}.{table}": (lambda n=(db, table), r=rows: self.keep(r, *n))
+                 for (db, table), rows in self.statistics.items()}
+        self.stage({**steps, KEY_CHECKS_TABLE: lambda: self.keep(
+            [checks.key_checks(mart, self.etl_ts, self.dag_execution_date)], db_mart, KEY_CHECKS_TABLE)})
         self.snapshot.publish()
 
-    def stage(self, steps: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    def stage(self, steps: Mapping[str, Callable[[], R]]) -> dict[str, R]:
         """Run independent steps side by side; returns their stored tables."""
         return side_by_side(self.spark, steps, self.workers)
 

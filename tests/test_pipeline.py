@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import threading
 from collections import Counter
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from appmart import catalog
 from appmart import operators as ops
-from appmart.plans import dims, facts, marts
+from appmart.plans import dims, facts, marts, pipeline
 from appmart.plans.pipeline import MART_DB, RAW_DB, run_pipeline
 from appmart.schemas import (KEY_CHECKS_TABLE, MART_SCHEMAS, MART_STATISTICS_TABLE, RAW_SCHEMAS,
                              RAW_STATISTICS_TABLE)
@@ -281,3 +282,20 @@ def test_submit_script_shows_its_options():
     said = subprocess.run([sys.executable, os.path.join(root, "submit_pipeline.py"), "--help"],
                           capture_output=True, text=True, cwd="/", timeout=120)
     assert said.returncode == 0 and "--src" in said.stdout
+
+
+def test_sources_of_the_pipeline_queries_are_written_side_by_side(spark, monkeypatch):
+    two = threading.Barrier(2)
+    monkeypatch.setattr(catalog, "write_csv", lambda df, path: two.wait(60))
+    monkeypatch.setattr(catalog, "run_pipeline", lambda *args, **more: None)
+    catalog._pipeline_run(catalog.Inputs(spark, SF_SMALL), ETL)
+
+
+def test_statistics_and_key_checks_are_written_side_by_side(spark, monkeypatch, tmp_path):
+    three, kept = threading.Barrier(3), []
+    monkeypatch.setattr(pipeline.checks, "key_checks", lambda *args: None)
+    monkeypatch.setattr(pipeline.Run, "keep", lambda self, rows, db, table: (three.wait(60), kept.append(table)))
+    run = pipeline.Run(spark, TableStore(spark, str(tmp_path)), ETL, ETL)
+    run.statistics = {(RAW_DB, RAW_STATISTICS_TABLE): [], (MART_DB, MART_STATISTICS_TABLE): []}
+    run.publish(MART_DB, {})
+    assert sorted(kept) == sorted([RAW_STATISTICS_TABLE, MART_STATISTICS_TABLE, KEY_CHECKS_TABLE])
