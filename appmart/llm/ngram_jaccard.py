@@ -49,10 +49,14 @@ COMMON = 8
 MAX_COMMON = 2_000_000
 #: Lists up to this length are paired out, longer ones answered through leaders.
 SHORT_LIST = 16
-#: A set is anchored to a leader with at least this similarity.
-ANCHOR_PERCENT = 50
+#: A set is anchored to a leader with at least this similarity. Sets that are not meet all of a leader's sets in the
+#: lists, so the outer copies of a large group of near copies are anchored too.
+ANCHOR_PERCENT = 25
 #: Sets with one anchor, from this number on, are kept apart by size of difference as well.
 LARGE_ANCHOR = 64
+#: Size bands of a block per ratio of sizes that similar sets can have. One band a ratio leaves nearly every position
+#: open; eight come close to the bound of the single entries.
+SIZE_BANDS = 8
 _SIGN = np.uint64(1 << 63)
 
 
@@ -367,37 +371,45 @@ def link_counts(pairs: DataFrame, same: DataFrame, anchored: DataFrame, nodes: D
     return met.unionByName(sure).groupBy("nid").agg(F.sum("others").alias("others"))
 
 
+#: Entries of one list, owner, size band and position band.
+_BLOCK = ["token", "owner", "band", "cut"]
+
+
+def _opened_blocks(entry: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks (x_ and y_ of _BLOCK, in one list, of two owners) of which a summary (sizes, least position)
+    says that entries can meet."""
+    blocks = entry.groupBy(*_BLOCK).agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"))
+    p, q = blocks.alias("p"), blocks.alias("q")
+    room = F.least(F.col("p.n1") - F.col("p.p0"), F.col("q.n1") - F.col("q.p0"))
+    opened = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.owner") < F.col("q.owner"))
+                    & (F.abs(F.col("p.band") - F.col("q.band")) <= SIZE_BANDS)
+                    & (100 * F.col("p.n1") >= percent * F.col("q.n0"))
+                    & (100 * F.col("q.n1") >= percent * F.col("p.n0"))
+                    & (room >= _needed(F.col("p.n0"), F.col("q.n0"), percent)))
+    return opened.select(*[F.col(f"p.{c}").alias(f"x_{c}") for c in _BLOCK],
+                         *[F.col(f"q.{c}").alias(f"y_{c}") for c in _BLOCK[1:]])
+
+
 def _block_pairs(long: DataFrame, anchored: DataFrame, percent: int) -> DataFrame:
     """Pairs within long lists that have no common anchor and can still qualify.
 
-    A list is cut into blocks by size band and position; a block summary
-    (sizes, least position) decides which block pairs are opened at all.
+    A list is cut into blocks by size band and position, see _opened_blocks.
     """
     owner = anchored.select("nid", "anchor").unionByName(
         anchored.select(F.col("anchor").alias("nid"), "anchor")).groupBy("nid").agg(F.max("anchor").alias("anchor"))
     entry = long.join(owner, "nid", "left").select(
         "token", "nid", "n", "pos", F.coalesce("anchor", "nid").alias("owner"),
-        F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).alias("band"),
+        F.floor(SIZE_BANDS * F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).alias("band"),
         F.floor(F.col("pos") * 64 / F.col("n")).alias("cut"))
     # Entries of one owner need no pairs among themselves; lists of a single owner end here.
     owners = entry.groupBy("token").agg(F.min("owner").alias("o1"), F.max("owner").alias("o2")).filter("o1 != o2")
     entry = entry.join(owners.select("token"), "token", "left_semi")
-    block = ["token", "owner", "band", "cut"]
-    blocks = entry.groupBy(*block).agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"))
-    p, q = blocks.alias("p"), blocks.alias("q")
-    room = F.least(F.col("p.n1") - F.col("p.p0"), F.col("q.n1") - F.col("q.p0"))
-    opened = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.owner") < F.col("q.owner"))
-                    & (F.abs(F.col("p.band") - F.col("q.band")) <= 1)
-                    & (100 * F.col("p.n1") >= percent * F.col("q.n0"))
-                    & (100 * F.col("q.n1") >= percent * F.col("p.n0"))
-                    & (room >= _needed(F.col("p.n0"), F.col("q.n0"), percent)))
-    opened = opened.select(*[F.col(f"p.{c}").alias(f"x_{c}") for c in block],
-                           *[F.col(f"q.{c}").alias(f"y_{c}") for c in block[1:]])
-    left = entry.select(*[F.col(c).alias(f"x_{c}") for c in block], F.col("nid").alias("a"),
+    opened = _opened_blocks(entry, percent)
+    left = entry.select(*[F.col(c).alias(f"x_{c}") for c in _BLOCK], F.col("nid").alias("a"),
                         F.col("n").alias("na"), F.col("pos").alias("pa"))
-    right = entry.select(F.col("token").alias("x_token"), *[F.col(c).alias(f"y_{c}") for c in block[1:]],
+    right = entry.select(F.col("token").alias("x_token"), *[F.col(c).alias(f"y_{c}") for c in _BLOCK[1:]],
                          F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    met = opened.join(left, [f"x_{c}" for c in block]).join(right, ["x_token"] + [f"y_{c}" for c in block[1:]])
+    met = opened.join(left, [f"x_{c}" for c in _BLOCK]).join(right, ["x_token"] + [f"y_{c}" for c in _BLOCK[1:]])
     return met.filter(_can_meet(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b")
 
 
