@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from appmart.llm import (decontaminate, html_extract, lm_score, mixing, ngram_jaccard, quality_rules, queries, sharding,
-                         substring_dedup, tokens, url_filter, warc)
+                         store, substring_dedup, tokens, url_filter, warc)
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -360,6 +361,65 @@ def test_windows_that_the_representative_does_not_match_meet_each_other(spark):
     assert all(got[a] == got[b] == a for a, b in pairs) and all(got[40 + i] is None for i in range(5))
 
 
+def test_windows_with_enough_elements_in_other_texts_stay(spark, monkeypatch):
+    rng = random.Random(4)
+    common = _four_letters(rng, 120)
+    docs = {i: _four_letters(rng, rng.randint(0, 60)) + common[i * 7 % 50:i * 7 % 50 + rng.randint(30, 70)]
+            + _four_letters(rng, 60) for i in range(30)}
+    docs[30] = docs[3]
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "tid long, text string")
+    rows = [(rng.randint(1, 4), i, c, 45, 45) for i, w in docs.items() for c in rng.sample(range(len(w) - 4), 6)]
+    loose = spark.createDataFrame(rows, "key long, tid long, c int, left int, right int").distinct()
+
+    def around(i, c):
+        shingles = [tuple(docs[i][j:j + 5]) for j in range(len(docs[i]) - 4)]
+        return shingles[max(0, c - 45):c + 46]
+    others = lambda key, i: {s for k, j, c, *_ in rows if k == key and j != i for s in around(j, c)}
+    want = {r for r in rows if sum(s in others(r[0], r[1]) for s in around(r[1], r[2])) >= substring_dedup.LEAST_SHARED}
+    assert 0 < len(want) < len(set(rows))
+    elements = substring_dedup.element_table(texts, loose)
+    for windows_in_memory in (1 << 14, 40, 0):
+        monkeypatch.setattr(substring_dedup, "KEY_WINDOWS", windows_in_memory)
+        got = [tuple(r) for r in substring_dedup._plausible(loose, elements).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = disk.getAllFiles().mkString(" ").split()
+        return {n for n in names if "shuffle_" in n and n.endswith(".data")}
+    there = shuffles()
+    df = store.materialise(spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count(), "shuffled")
+    until = time.monotonic() + 20
+    while shuffles() - there and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles() - there
+    assert df.count() == 5000 and spark.conf.get(setting) == before
+
+
+def test_verified_pairs_equal_matching_their_surroundings(spark):
+    rng = random.Random(5)
+    shared = _four_letters(rng, 700)
+    docs = {1: _four_letters(rng, 30) + shared, 2: shared[:300] + ["more"] + shared[300:] + _four_letters(rng, 20),
+            3: _four_letters(rng, 600) + shared[500:560] + _four_letters(rng, 80), 4: shared[650:],
+            5: _four_letters(rng, 40) + shared[600:630] + _four_letters(rng, 40)}
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "tid long, text string")
+    elements = substring_dedup.element_table(texts, texts)
+    whole = {r["tid"]: np.frombuffer(r["elements"], np.uint32) for r in elements.collect()}
+    pairs = [(a, int(p), b, int(q)) for a in docs for b in docs if a < b
+             for p, q in zip(*np.nonzero(whole[a][:, None] == whole[b])) if p % 9 == 0 or p < 50]
+    cut = lambda w, c: (w[max(0, c - 45):c + 46], min(c, 45))
+    want = substring_dedup.matched([(*cut(whole[a], p), *cut(whole[b], q)) for a, p, b, q in pairs])
+    got = substring_dedup._verified(spark.createDataFrame(pairs, "a long, ca int, b long, cb int"), elements).collect()
+    assert {tuple(r[:4]): tuple(-1 if v is None else v for v in r[4:]) for r in got} == {
+        p: tuple(w) for p, w in zip(pairs, want.tolist())} and len(got) == len(pairs)
+    assert 0 < (want[:, 0] >= 0).sum() < len(pairs)
+
+
 def test_rates_reach_the_targets(spark):
     rng = np.random.default_rng(0)
     p = rng.dirichlet([0.3, 0.3, 0.3], 500)
